@@ -47,13 +47,11 @@ def explode_text_array(
     if label is None:
         (name,) = lists
         return df.withColumn(into, F.explode(items(name))).drop(*lists)
-    tagged = [
-        F.transform(
-            items(name),
-            lambda x, text=text: F.struct(F.lit(text).alias("label"), x.alias("item")),
-        )
-        for name, text in lists.items()
-    ]
+
+    def tagged_with(text: str):
+        return lambda x: F.struct(F.lit(text).alias("label"), x.alias("item"))
+
+    tagged = [F.transform(items(name), tagged_with(text)) for name, text in lists.items()]
     kept = [c for c in df.columns if c not in lists]
     return df.select(*kept, F.explode(F.concat(*tagged)).alias("_item")).select(
         *kept, F.col("_item.label").alias(label), F.col("_item.item").alias(into)

@@ -36,12 +36,12 @@ def _braced(path: str) -> str:
 
 
 _ITEM_FIELDS = """
-    uid: string, merchant_id: string, name: string, categories_array: array<string>,
-    amount: double, price: double, articul: string, status: string,
-    bar_code: array<string>, created_on: string, updated_on: string,
-    is_visible: boolean, available: boolean, product_id: string, scope: array<string>,
-    sale_channels: array<string>, name_ebt: string, sku_id: string,
-    group_id: string, vendor: string
+    uid string, merchant_id string, name string, categories_array array<string>,
+    amount double, price double, articul string, status string,
+    bar_code array<string>, created_on string, updated_on string,
+    is_visible boolean, available boolean, product_id string, scope array<string>,
+    sale_channels array<string>, name_ebt string, sku_id string,
+    group_id string, vendor string
 """
 # A first element is read only where the key is present; an empty array has none.
 _ITEM_REQUIRED = (
@@ -52,7 +52,7 @@ _ITEM_REQUIRED = (
 )
 
 NOMENCLATURE = FlattenSpec(
-    schema=f"_id: string, _source: struct<{_ITEM_FIELDS}>",
+    schema=f"_id string, _source struct<{_ITEM_FIELDS}>",
     columns={
         "id": "_id",
         **_plain(
@@ -85,13 +85,13 @@ KASSA_NOMENCLATURE = FlattenSpec(
 )
 
 _PRODUCT_SCHEMA = """
-    _id: string,
-    _source: struct<
-        merchant_id: string, description: string, name: string, default_category: string,
-        categories_array: array<string>, created_on: string, updated_on: string,
-        is_visible: boolean, label: string, scope: array<string>,
-        skus: array<struct<
-            uid: string, price: double, amount: double, product_param: string, nomenclature: string, sku: string, min_nomen_id: string>>>
+    _id string,
+    _source struct<
+        merchant_id string, description string, name string, default_category string,
+        categories_array array<string>, created_on string, updated_on string,
+        is_visible boolean, label string, scope array<string>,
+        skus array<struct<
+            uid string, price double, amount double, product_param string, nomenclature string, sku string, min_nomen_id string>>>
 """
 _PRODUCT_COLUMNS = {
     "id": "_id",
@@ -118,7 +118,7 @@ SHOWCASE = FlattenSpec(
 )
 
 CATEGORIES = FlattenSpec(
-    schema="_id: string, _source: struct<title: string, seoTitle: string, seoKeywords: string, dscr: string>",
+    schema="_id string, _source struct<title string, seoTitle string, seoKeywords string, dscr string>",
     columns={
         "id": "_id",
         **_plain("title seo_keywords=seoKeywords description=dscr seo_title=seoTitle"),
@@ -128,12 +128,12 @@ CATEGORIES = FlattenSpec(
 
 TASK_HISTORY = FlattenSpec(
     schema="""
-        _id: string,
-        _source: struct<taskName: string, dueDate: string, taskStartDate: string,
-            taskEndDate: string, assignee: string, rootProcessInstanceId: string,
-            applicationNumber: string, processDefinitionName: string,
-            activityInstanceId: string, initiator: string, processStartDate: string,
-            completed: string>
+        _id string,
+        _source struct<taskName string, dueDate string, taskStartDate string,
+            taskEndDate string, assignee string, rootProcessInstanceId string,
+            applicationNumber string, processDefinitionName string,
+            activityInstanceId string, initiator string, processStartDate string,
+            completed string>
     """,
     columns={
         "step_id": "_id",
@@ -148,11 +148,11 @@ TASK_HISTORY = FlattenSpec(
 
 PROCESS_HISTORY = FlattenSpec(
     schema="""
-        _id: string,
-        _source: struct<applicationNumber: string, startTime: string,
-            processDefinitionName: string, startUserId: string, completed: string,
-            endTime: string, processInstanceId: string, processDefinitionId: string,
-            assignmentList: string, deleteReason: string>
+        _id string,
+        _source struct<applicationNumber string, startTime string,
+            processDefinitionName string, startUserId string, completed string,
+            endTime string, processInstanceId string, processDefinitionId string,
+            assignmentList string, deleteReason string>
     """,
     columns={
         "id": "_id",
@@ -167,15 +167,15 @@ PROCESS_HISTORY = FlattenSpec(
 
 EMPLOYEE = FlattenSpec(
     schema="""
-        _id: string,
-        _source: struct<username: string, fullName: string, birthday: string,
-            employeeNumber: string, employeeHeadNumber: string, employeeContractNumber: string,
-            employeeContractDate: string, hireDate: string, iin: string, mobilePhoneNumber: string,
-            position: struct<code: string, name: string>,
-            specialization: struct<code: string, name: string, parentCode: string>,
-            department: struct<code: string, name: string, parentCode: string,
-                curatorEmployeeNumber: string, managerEmployeeNumber: string>,
-            branch: struct<code: string, name: string>>
+        _id string,
+        _source struct<username string, fullName string, birthday string,
+            employeeNumber string, employeeHeadNumber string, employeeContractNumber string,
+            employeeContractDate string, hireDate string, iin string, mobilePhoneNumber string,
+            position struct<code string, name string>,
+            specialization struct<code string, name string, parentCode string>,
+            department struct<code string, name string, parentCode string,
+                curatorEmployeeNumber string, managerEmployeeNumber string>,
+            branch struct<code string, name string>>
     """,
     columns={
         "id": "_id",
@@ -197,10 +197,10 @@ EMPLOYEE = FlattenSpec(
 
 DEPARTMENT = FlattenSpec(
     schema="""
-        _id: string,
-        _source: struct<code: string, name: string, nameKz: string, parentCode: string,
-            description: string, state: string, isArchive: boolean, isHq: boolean,
-            curatorEmployeeNumber: string, managerEmployeeNumber: string>
+        _id string,
+        _source struct<code string, name string, nameKz string, parentCode string,
+            description string, state string, isArchive boolean, isHq boolean,
+            curatorEmployeeNumber string, managerEmployeeNumber string>
     """,
     columns={
         "id": "_id",
@@ -213,15 +213,15 @@ DEPARTMENT = FlattenSpec(
 )
 
 POSITION = FlattenSpec(
-    schema="_id: string, _source: struct<code: string, name: string, nameKz: string, isArchive: boolean, level: string>",
+    schema="_id string, _source struct<code string, name string, nameKz string, isArchive boolean, level string>",
     columns={"id": "_id", **_plain("code name name_kz=nameKz is_archive=isArchive level")},
 )
 
 SPECIALIZATION = FlattenSpec(
     schema="""
-        _id: string,
-        _source: struct<code: string, name: string, nameKz: string, parentCode: string,
-            curatorCode: string, isActive: boolean, isOnlyForOrganigram: boolean>
+        _id string,
+        _source struct<code string, name string, nameKz string, parentCode string,
+            curatorCode string, isActive boolean, isOnlyForOrganigram boolean>
     """,
     columns={
         "id": "_id",
@@ -234,13 +234,13 @@ SPECIALIZATION = FlattenSpec(
 
 MERCHANTS = FlattenSpec(
     schema="""
-        doc: struct<id: string, telephone: string, email: string, brand: string,
-            old_id_code: string, merchant_id: string, state: string, merchant_type: array<string>,
-            code: string, description: string, legal_name: string, logo_token: string,
-            surl: string, smap: string, avatar_token: string, banner_token: string,
-            contacts: string, created_date: string, updated_date: string,
-            biz_categories: array<string>, address: string, kassa_types: array<string>,
-            website: string>
+        doc struct<id string, telephone string, email string, brand string,
+            old_id_code string, merchant_id string, state string, merchant_type array<string>,
+            code string, description string, legal_name string, logo_token string,
+            surl string, smap string, avatar_token string, banner_token string,
+            contacts string, created_date string, updated_date string,
+            biz_categories array<string>, address string, kassa_types array<string>,
+            website string>
     """,
     columns={
         **_plain(
@@ -259,8 +259,8 @@ MERCHANTS = FlattenSpec(
 
 STORES = FlattenSpec(
     schema="""
-        doc: struct<merchant_id: string, brand_name: string, schedule: string,
-            address: struct<street_num: string, street: string, region_id: string, apt_num: string>>
+        doc struct<merchant_id string, brand_name string, schedule string,
+            address struct<street_num string, street string, region_id string, apt_num string>>
     """,
     columns={
         **_plain("merchant_id brand_name schedule", prefix="doc."),
@@ -271,9 +271,9 @@ STORES = FlattenSpec(
 
 LOANS = FlattenSpec(
     schema="""
-        profile_id: string, status: string,
-        person_info: struct<surname: string, name: string, patronymic: string,
-            birthdate: string, sex: string, iin: string, mobile_phone: string>
+        profile_id string, status string,
+        person_info struct<surname string, name string, patronymic string,
+            birthdate string, sex string, iin string, mobile_phone string>
     """,
     columns={
         **_plain("profile_id", prefix="doc."),
@@ -293,12 +293,12 @@ def _stripped(path: str) -> str:
 
 DIGITAL_ORDERS = FlattenSpec(
     schema="""
-        uid: string, price: double, order_type: string, is_gift_cert: boolean,
-        cert_title: string,
-        gift_receiver: struct<name: string, email: string, mobile: string>,
-        activation_code: string, paid: boolean, pay_type: string, pay_title: string,
-        created_on: string, delivery_date: string, expiring_date: string,
-        is_activated: boolean
+        uid string, price double, order_type string, is_gift_cert boolean,
+        cert_title string,
+        gift_receiver struct<name string, email string, mobile string>,
+        activation_code string, paid boolean, pay_type string, pay_title string,
+        created_on string, delivery_date string, expiring_date string,
+        is_activated boolean
     """,
     columns={
         **_plain(
@@ -384,9 +384,9 @@ def parameters(documents: DataFrame) -> DataFrame:
 
 
 PARAMETER_SCHEMA = """
-    _id: string,
-    _source: struct<category_uid: string, title: string,
-        params_values: array<struct<uid_values: string, values: string, sort_values: string>>>
+    _id string,
+    _source struct<category_uid string, title string,
+        params_values array<struct<uid_values string, values string, sort_values string>>>
 """
 
 

@@ -13,8 +13,8 @@ from ledgerloom.plans.catalogue import publish_events
 from ledgerloom.session import shared_dir
 
 PUBLISH_LOG_SCHEMA = """
-    event_dtime: timestamp_ntz, merchant_id: string,
-    enabled_products: string, disabled_products: string
+    event_dtime timestamp_ntz, merchant_id string,
+    enabled_products string, disabled_products string
 """
 
 
