@@ -15,6 +15,7 @@ from ledgerloom.functions.times import (
     on_previous_day,
     timestamp_literal,
 )
+from ledgerloom.operators.joins import semi_lookup
 from ledgerloom.operators.latest import latest_per_key
 from ledgerloom.operators.unions import union_all
 from ledgerloom.plans.market import Market
@@ -60,10 +61,17 @@ STATEMENT = [
 MONEY = "decimal(18,2)"
 
 
-def _order_state(history: DataFrame, tie_break: str) -> DataFrame:
-    """Latest status row of each order, the columns the statement shows."""
+def _order_state(
+    history: DataFrame, tie_break: str, invoices: DataFrame | None = None
+) -> DataFrame:
+    """Latest status row of each order, the columns the statement shows.
+
+    With ``invoices`` given (a short period), only their orders are looked at.
+    """
     shown = ["bank_status", "status", "promocode", "common_discount_size", "pay_types", "pay_title"]
     rows = history.select("uid", "updated_on", F.col(tie_break).alias("_tie"), *shown)
+    if invoices is not None:
+        rows = semi_lookup(rows, invoices, "uid", "order_id")
     return latest_per_key(rows, ["uid"], [F.col("updated_on").desc(), F.col("_tie").desc()]).select(
         "uid", *shown
     )
@@ -140,7 +148,8 @@ def sales_rows(
     if active_only:
         details = details.where(F.col("state") == "ACTIVE")
     sold = invoices.where((F.col("bank_trans_code") == market.lender.code) & created)
-    chosen = _one_invoice_per_order(sold, details, _order_state(history, tie_break), "inner")
+    states = _order_state(history, tie_break, sold)
+    chosen = _one_invoice_per_order(sold, details, states, "inner")
     categories = nomenclature.select(
         F.col("id").alias("item_id"),
         F.translate(first_part(F.col("categories_array")), "{", "").alias("_cat"),

@@ -121,12 +121,13 @@ def marketable(market: Market) -> Column:
 def _item_titles(nomenclature: DataFrame, categories: DataFrame, market: Market) -> DataFrame:
     """Greatest name and first-level title per product and merchant."""
     items = listed(nomenclature, market).where(F.col("product_id").isNotNull())
-    names = (
-        items.withColumn("cat", level(braced_list(F.col("categories_array")), 1))
-        .groupBy("product_id", F.col("merchant_id").alias("product_merchant_id"), "cat")
-        .agg(F.max("name_ebt").alias("name_ebt"))
+    keyed = items.select(
+        "product_id",
+        F.col("merchant_id").alias("product_merchant_id"),
+        level(braced_list(F.col("categories_array")), 1).alias("cat"),
+        "name_ebt",
     )
-    titled = names.join(
+    titled = keyed.join(
         categories.where(F.col("title").isNotNull()).select(F.col("id").alias("cat"), "title"), "cat"
     )
     return titled.groupBy("product_id", "product_merchant_id").agg(
@@ -495,7 +496,8 @@ def purchases_report(
     month = in_scope.where(in_month_of_previous_day(F.col("updated_on"), as_of))
     stat = composite_label(F.col("status"), F.col("paid")).alias("stat")
     rows = month.select("uid", stat, *carried).distinct()
-    lines = packages.select(
+    # Only this month's orders matter: their lines are picked before they are made distinct.
+    lines = semi_lookup(packages, month, "uid", "uid").select(
         "uid",
         "sender_title",
         line_total(F.col("sku_price"), F.col("sku_amount")).alias("total_price"),

@@ -71,12 +71,9 @@ def with_headers(df: DataFrame, headers: Sequence[str]) -> DataFrame:
     return df.toDF(*headers)
 
 
-def write_report(df: DataFrame, headers: Sequence[str], path: str, files: int | None = None) -> None:
-    """CSV with a header row; ``files=1`` is for reports known to be short."""
-    out = with_headers(df, headers)
-    if files:
-        out = out.repartition(files)
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_report(df: DataFrame, headers: Sequence[str], path: str) -> None:
+    """CSV with display headers, one file per partition of the result."""
+    with_headers(df, headers).write.mode("overwrite").option("header", True).csv(path)
 
 
 def alert_rows(df: DataFrame, parts: Mapping[str, Column | str], into: str = "message") -> DataFrame:

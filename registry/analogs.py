@@ -37,10 +37,15 @@ ANALOGS = {
             cast({_UID} as string) AS uid,
             'U' || cast(user_id as string) AS owner,
             CASE WHEN user_id % 13 = 12 THEN 'kassa' ELSE 'market' END AS scope,
-            CASE event_type WHEN 'signup' THEN 'new' WHEN 'view' THEN 'pending_approve'
-                WHEN 'click' THEN 'on_delivery' WHEN 'purchase' THEN 'delivered'
-                ELSE CASE event_id % 4 WHEN 0 THEN 'cancelled' WHEN 1 THEN 'cancelledbyclient'
-                    WHEN 2 THEN 'cancelledbybank' ELSE 'cancelled' END END AS status,
+            CASE event_type WHEN 'signup' THEN 'new'
+                WHEN 'view' THEN CASE event_id % 8 WHEN 0 THEN 'awaiting_loan_approve'
+                    WHEN 1 THEN 'filled_not_approved' WHEN 2 THEN 'approved_not_filled' ELSE 'pending_approve' END
+                WHEN 'click' THEN CASE event_id % 7 WHEN 0 THEN 'pending_pickup' WHEN 1 THEN 'courier_delivery'
+                    WHEN 2 THEN 'awaiting_parcel_ready' WHEN 3 THEN 'sync_with_delivery'
+                    WHEN 4 THEN 'awaiting_courier_pickup' ELSE 'on_delivery' END
+                WHEN 'purchase' THEN CASE event_id % 5 WHEN 0 THEN 'taken' WHEN 1 THEN 'returned' ELSE 'delivered' END
+                ELSE CASE event_id % 6 WHEN 0 THEN 'cancelledbyclient' WHEN 1 THEN 'cancelledbybank'
+                    WHEN 2 THEN 'cancelledbymerchant' WHEN 3 THEN 'cancelledbytimeout' ELSE 'cancelled' END END AS status,
             value > 25 AS paid,
             CASE user_id % 5 WHEN 0 THEN 'EXPRESS' WHEN 1 THEN 'ACQUIRING' WHEN 2 THEN 'COD'
                 WHEN 3 THEN 'EXPRESS' ELSE 'CARD' END AS pay_types,

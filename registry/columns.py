@@ -10,6 +10,7 @@ from ledgerloom.functions.status import Lender, cancel_reason, stage_number, sta
 from ledgerloom.functions import fixed_values as fv
 from ledgerloom.operators.aggregates import having
 from registry.core import Tables, query
+from registry.fragments import KINDS, REASON, STAGE
 
 EVENTS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "1998-08-02"
@@ -35,22 +36,11 @@ def _(t: Tables):
 
 @query(
     "value_map_stage",
-    """
-    SELECT row_id,
-        coalesce(m.label, CASE WHEN contains(status, 'cancel') THEN 'отменено' END) AS stage,
-        coalesce(m.num, CASE WHEN contains(status, 'cancel') THEN 6 END) AS stage_num
-    FROM order_history
-    LEFT JOIN (VALUES
-        ('new', false, 'COD', 'создано', 1), ('new', false, '*', 'создано', 1),
-        ('new', true, '*', 'оформлено', 2), ('new', true, 'COD', 'оформлено', 2),
-        ('pending_approve', false, 'COD', 'создано', 1), ('pending_approve', false, '*', 'оформлено', 2),
-        ('pending_approve', true, 'COD', 'оформлено', 2), ('pending_approve', true, '*', 'оформлено', 2),
-        ('on_delivery', true, 'COD', 'принято', 3), ('on_delivery', true, '*', 'принято', 3),
-        ('on_delivery', false, 'COD', 'принято', 3), ('on_delivery', false, '*', 'принято', 3),
-        ('delivered', true, 'COD', 'завершено', 4), ('delivered', true, '*', 'завершено', 4),
-        ('delivered', false, 'COD', 'завершено', 4), ('delivered', false, '*', 'завершено', 4)
-    ) AS m(s, p, kind, label, num)
-        ON m.s = status AND m.p = paid AND m.kind = CASE WHEN pay_types = 'COD' THEN 'COD' ELSE '*' END
+    f"""
+    WITH {KINDS}
+    SELECT row_id, stage, cast(list_position(
+        ['создано', 'оформлено', 'принято', 'завершено', 'возврат', 'отменено'], stage) AS INT) AS stage_num
+    FROM (SELECT row_id, {STAGE} AS stage FROM order_history LEFT JOIN kinds ON kind = status)
     """,
 )
 def _(t: Tables):
@@ -105,18 +95,7 @@ def _(t: Tables):
 
 @query(
     "multi_col_rules",
-    """
-    SELECT row_id, CASE WHEN NOT contains(status, 'cancel') THEN NULL ELSE
-        coalesce(
-            CASE WHEN cancelled_reason = 'active' THEN 'активная заявка' END,
-            CASE WHEN bank_status = 'cancel' THEN 'отказ: скоринг' END,
-            CASE cancelled_reason WHEN 'CLIENT.DECLINE' THEN 'отменено клиентом' WHEN 'error' THEN 'общие ошибки'
-                WHEN 'Таймаут на решении клиента' THEN 'отменено по timeout' END,
-            CASE WHEN bank_status = 'rejected' THEN 'отказ: вн. проверки банка' END,
-            CASE regexp_extract(status, 'cancelledby(.*)', 1) WHEN 'bank' THEN 'отменено банком'
-                WHEN 'client' THEN 'отменено клиентом' ELSE 'отменено' END) END AS reason
-    FROM order_history
-    """,
+    f"SELECT row_id, CASE WHEN contains(status, 'cancel') THEN {REASON} END AS reason FROM order_history",
 )
 def _(t: Tables):
     stage = stage_of(F.col("status"), F.col("paid"), F.col("pay_types"))

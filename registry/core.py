@@ -33,12 +33,15 @@ class Tables:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
-        if name in ANALOGS:
+            df = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        elif name in ANALOGS:
             sql = for_spark(ANALOGS[name])
             used = set(re.findall(r"\{(\w+)\}", sql.replace("{{", "").replace("}}", "")))
-            return self.spark.sql(sql, **{table: getattr(self, table) for table in used})
-        raise AttributeError(name)
+            df = self.spark.sql(sql, **{table: getattr(self, table) for table in used})
+        else:
+            raise AttributeError(name)
+        setattr(self, name, df)
+        return df
 
 
 def plain_types(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from ledgerloom.plans import accounting, accounts, catalogue, orders, processes
 from ledgerloom.plans.market import Market
 from ledgerloom.sinks import with_headers
 from registry.core import Tables, query
+from registry.fragments import KINDS, PLACE, REASON, STAGE, WHEREABOUTS
 from registry.transforms import ANALOG_STEPS, PATHS
 
 AS_OF = date(2024, 1, 31)
@@ -23,24 +24,14 @@ def market() -> Market:
 
 
 # Oracle side: the latest row per order, payment and stage, with its reason.
-LATEST = """
-    staged AS (
-        SELECT *, coalesce(common_old_price, common_price) AS amount, CASE
-                WHEN contains(status, 'cancel') THEN 'отменено' WHEN status = 'delivered' THEN 'завершено'
-                WHEN status = 'on_delivery' THEN 'принято'
-                WHEN NOT paid AND (status = 'new' OR pay_types = 'COD') THEN 'создано' ELSE 'оформлено' END AS stage,
+LATEST = f"""
+    {KINDS}, staged AS (
+        SELECT *, coalesce(common_old_price, common_price) AS amount, {STAGE} AS stage,
             CASE pay_types WHEN 'ACQUIRING' THEN 'Кредитная карта' WHEN 'EXPRESS' THEN 'Экспресс кредит'
                 ELSE pay_title END AS pay
-        FROM order_history WHERE scope = 'market'
+        FROM order_history LEFT JOIN kinds ON kind = status WHERE scope = 'market'
     ), latest AS (
-        SELECT *, CASE WHEN stage = 'отменено' THEN coalesce(
-                CASE WHEN cancelled_reason = 'active' THEN 'активная заявка' END,
-                CASE WHEN bank_status = 'cancel' THEN 'отказ: скоринг' END,
-                CASE cancelled_reason WHEN 'CLIENT.DECLINE' THEN 'отменено клиентом' WHEN 'error' THEN 'общие ошибки'
-                    WHEN 'Таймаут на решении клиента' THEN 'отменено по timeout' END,
-                CASE WHEN bank_status = 'rejected' THEN 'отказ: вн. проверки банка' END,
-                CASE regexp_extract(status, 'cancelledby(.*)', 1) WHEN 'bank' THEN 'отменено банком'
-                    WHEN 'client' THEN 'отменено клиентом' ELSE 'отменено' END) END AS reason
+        SELECT *, CASE WHEN stage = 'отменено' THEN {REASON} END AS reason
         FROM staged
         WHERE row_id IN (SELECT arg_max(row_id, (date_trunc('second', updated_on), row_id)) FROM staged GROUP BY uid, pay, stage)
     ), lines AS (
@@ -51,7 +42,7 @@ LATEST = """
 # Statuses numbered per order and payment.
 NUMBERED = """
     numbered AS (
-        SELECT uid, pay, amount, common_price AS total, status, reason, stage, cast(updated_on AS DATE) AS day,
+        SELECT uid, pay, amount, common_price AS total, status, progress, funnel, reason, stage, cast(updated_on AS DATE) AS day,
             row_number() OVER (PARTITION BY uid, pay ORDER BY date_trunc('second', updated_on), row_id) AS n,
             count(*) OVER (PARTITION BY uid, pay) AS size
         FROM chosen
@@ -390,11 +381,12 @@ def _(t: Tables):
     )
     SELECT DISTINCT l.uid, l.status, l.stage AS status_ru,
         cast(list_position(['создано', 'оформлено', 'принято', 'завершено', 'возврат', 'отменено'], l.stage) AS VARCHAR) AS status_ru_num,
-        CASE WHEN l.status = 'delivered' THEN CASE l.delivery_types WHEN 'delivery' THEN 'доставка' WHEN 'kazpost' THEN 'казпочта' END END
-            AS delivery_type,
+        CASE l.status WHEN 'delivered' THEN CASE l.delivery_types WHEN 'delivery' THEN 'доставка' WHEN 'kazpost' THEN 'казпочта' END
+            WHEN 'taken' THEN 'самовывоз' END AS delivery_type,
         l.reason AS cancelled_reason,
-        nullif(cast(l.status IN ('delivered', 'on_delivery') AS INT), 0) AS merchant_approve,
-        nullif(cast(l.status IN ('delivered', 'on_delivery') AS INT), 0) AS contract_signed,
+        CASE WHEN l.progress IN ('принято', 'завершено', 'возврат') OR l.status IN ('approved_not_filled', 'awaiting_loan_approve')
+            THEN 1 END AS merchant_approve,
+        CASE WHEN l.progress IN ('завершено', 'возврат') OR l.status IN ('on_delivery', 'pending_pickup') THEN 1 END AS contract_signed,
         strftime(l.created_on, '%Y-%m-%d %H:%M:%S') AS created_second, strftime(l.created_on, '%Y-%m-%d') AS created_on,
         strftime(l.updated_on, '%Y-%m-%d %H:%M:%S') AS updated_second, strftime(l.updated_on, '%Y-%m-%d') AS updated_on,
         l.pay AS pay_title,
@@ -444,9 +436,7 @@ def _(t: Tables):
         GROUP BY uid, pay
     ), moved AS (
         SELECT n.*, g.gap, CASE WHEN n.n = g.gap THEN NULL WHEN n.n > g.gap THEN n.n - 1 ELSE n.n END AS m,
-            CASE WHEN contains(status, 'cancel') THEN 'отменен' WHEN status = 'new' THEN 'создано'
-                WHEN status = 'pending_approve' THEN 'анкета не заполнена' WHEN status = 'on_delivery' THEN 'договор подписан'
-                WHEN status = 'delivered' THEN 'завершен' END AS label
+            coalesce(funnel, 'отменен') AS label
         FROM numbered n LEFT JOIN gaps g USING (uid, pay) JOIN heads h USING (uid, pay) WHERE h.opened = 'new'
     ), wide AS (
         SELECT uid, pay, amount, total, max(reason) AS reason, min(day) AS first_day, max(size) AS size,
@@ -475,12 +465,12 @@ def _(t: Tables):
 @query(
     "mart_passed_orders",
     f"""
-    WITH {LATEST}, chosen AS (SELECT * FROM latest WHERE pay_title <> 'Оплата онлайн'), {NUMBERED}, gaps AS (
+    WITH {WHEREABOUTS}, {LATEST}, chosen AS (SELECT * FROM latest WHERE pay_title <> 'Оплата онлайн'), {NUMBERED}, gaps AS (
         SELECT uid, pay, min(n) AS gap FROM numbered JOIN heads USING (uid, pay)
         WHERE n BETWEEN 2 AND CASE opened WHEN 'pending_approve' THEN 4 ELSE 5 END AND n < size AND contains(status, 'cancel')
         GROUP BY uid, pay
     ), moved AS (
-        SELECT n.uid, n.pay, n.status, n.n - cast(coalesce(n.n > g.gap, false) AS INT) + cast(h.opened = 'pending_approve' AS INT) AS m,
+        SELECT n.uid, n.pay, n.status, n.progress, n.n - cast(coalesce(n.n > g.gap, false) AS INT) + cast(h.opened = 'pending_approve' AS INT) AS m,
             n.n = n.size AS is_last
         FROM numbered n JOIN heads h USING (uid, pay) LEFT JOIN gaps g USING (uid, pay) WHERE n.n IS DISTINCT FROM g.gap
     ), grouped AS (
@@ -490,17 +480,16 @@ def _(t: Tables):
             max(day) FILTER (stage = 'отменено') AS cancelled
         FROM numbered GROUP BY uid, pay, amount, total
     ), labelled AS (
-        SELECT m.uid, m.pay, m.m, m.status, CASE WHEN contains(m.status, 'cancel') THEN CASE WHEN is_last THEN g.reason END
-            WHEN m.status IN ('new', 'pending_approve') THEN 'оформлено' WHEN m.status = 'on_delivery' THEN 'принято'
-            WHEN m.status = 'delivered' THEN 'завершено' END AS label
+        SELECT m.uid, m.pay, m.m, m.status,
+            coalesce(m.progress, CASE WHEN is_last THEN g.reason END) AS label
         FROM moved m JOIN grouped g USING (uid, pay)
     ), slots AS (
         SELECT uid, pay, max(status) FILTER (m = 2) AS s2, max(status) FILTER (m = 3) AS s3, max(status) FILTER (m = 4) AS s4,
-            max(label) FILTER (m = 2) AS l2, max(label) FILTER (m = 3) AS l3, max(label) FILTER (m = 4) AS l4,
+            max(status) FILTER (m = 5) AS s5, max(label) FILTER (m = 2) AS l2, max(label) FILTER (m = 3) AS l3, max(label) FILTER (m = 4) AS l4,
             string_agg(label, ',') FILTER (m BETWEEN 2 AND 5) AS seen
         FROM labelled GROUP BY uid, pay
     ), filled AS (
-        SELECT g.uid, g.pay, g.amount, g.total, s2, s3, s4, completed,
+        SELECT g.uid, g.pay, g.amount, g.total, s2, s3, s4, s5, completed,
             CASE WHEN regexp_matches(coalesce(seen, ''), 'отменено|отказ|общие ошибки|активная заявка') THEN g.reason END AS reason,
             CASE WHEN regexp_matches(coalesce(seen, ''), 'отменено|отказ|общие ошибки|активная заявка') THEN cancelled END AS cancelled,
             CASE WHEN received IS NULL AND accepted IS NOT NULL THEN accepted
@@ -518,11 +507,11 @@ def _(t: Tables):
         strftime(received, '%Y-%m-%d') AS received_day, strftime(cancelled, '%Y-%m-%d') AS cancelled_day,
         CASE WHEN completed IS NOT NULL THEN total END AS completed_total,
         CASE WHEN contains(s3, 'cancel') AND l[1] <> 'принято' THEN reason
-            WHEN s2 = 'on_delivery' OR s3 IN ('on_delivery', 'delivered') THEN 'на доставке'
-            WHEN s2 = 'pending_approve' THEN CASE pay WHEN 'Экспресс кредит' THEN 'одобрено' ELSE 'на партнере' END END AS state_1,
+            ELSE coalesce({PLACE}, CASE WHEN s2 = 'pending_approve' THEN
+                CASE pay WHEN 'Экспресс кредит' THEN 'одобрено' ELSE 'на партнере' END END) END AS state_1,
         CASE WHEN contains(s3, 'cancel') AND l[1] = 'принято' THEN reason WHEN contains(s4, 'cancel') THEN reason
-            WHEN s4 = 'delivered' OR s3 = 'delivered' THEN 'доставлен' END AS state_2,
-        cast(NULL AS VARCHAR) AS state_3,
+            WHEN s4 = 'taken' OR s3 = 'taken' THEN 'выдан' WHEN s4 = 'delivered' OR s3 = 'delivered' THEN 'доставлен' END AS state_2,
+        CASE WHEN s4 = 'returned' OR s5 = 'returned' THEN 'возвращен' END AS state_3,
         cast(date_diff('day', received, coalesce(accepted, open_end)) AS INT) AS accept_days,
         cast(date_diff('day', coalesce(accepted, open_end), coalesce(completed, open_end)) AS INT) AS complete_days
     FROM ended e JOIN lines s ON s.uid = e.uid AND s.line_total = e.amount
@@ -544,8 +533,8 @@ def _(t: Tables):
         SELECT order_id, cast(temp ->> '$.body.bank_req.application[11].value' AS DOUBLE) AS income FROM sent_requests
         WHERE contains(temp, '"key": "Income"')
     ), done AS (
-        SELECT DISTINCT uid, 'delivered/' || paid AS status, strftime(updated_on, '%Y-%m-%d') AS updated_on
-        FROM order_history WHERE scope = 'market' AND status = 'delivered'
+        SELECT DISTINCT uid, status || '/' || paid AS status, strftime(updated_on, '%Y-%m-%d') AS updated_on
+        FROM order_history WHERE scope = 'market' AND status IN ('delivered', 'taken')
     )
     SELECT DISTINCT p.*, income,
         CASE WHEN income > 600000 THEN 'более 600 000' WHEN income > 400000 THEN 'до 600 000' WHEN income > 200000 THEN 'до 400 000' ELSE 'до 200 000' END AS income_segment,
@@ -595,9 +584,11 @@ def _(t: Tables):
 SEGMENTS = """
     segments(segment, pay, stat, ttt) AS (VALUES
         ('any', NULL, 'new/false', 'oformleno'), ('any', NULL, 'pending_approve/false', 'postupilo'),
-        ('any', NULL, 'on_delivery/false', 'priniyat'),
+        ('any', NULL, 'on_delivery/false', 'priniyat'), ('any', NULL, 'pending_pickup/false', 'priniyat'),
         ('parts', 'В рассрочку', 'new/false', 'oformleno'), ('parts', 'В рассрочку', 'new/true', 'postupilo'),
         ('parts', 'В рассрочку', 'pending_approve/true', 'postupilo'), ('parts', 'В рассрочку', 'on_delivery/true', 'priniyat'),
+        ('parts', 'В рассрочку', 'pending_pickup/true', 'priniyat'), ('card', 'Банковская карта', 'pending_pickup/true', 'priniyat'),
+        ('cash', 'Оплата наличными', 'pending_pickup/false', 'priniyat'),
         ('card', 'Банковская карта', 'new/false', 'oformleno'), ('card', 'Банковская карта', 'new/true', 'postupilo'),
         ('card', 'Банковская карта', 'pending_approve/true', 'postupilo'), ('card', 'Банковская карта', 'on_delivery/true', 'priniyat'),
         ('cash', 'Оплата наличными', 'new/false', 'oformleno'), ('cash', 'Оплата наличными', 'pending_approve/false', 'oformleno'),
@@ -617,7 +608,7 @@ SEGMENTS = """
         SELECT DISTINCT uid, sender_title, sku_price * sku_amount AS total_price, product_name, product_merchant_id, sku_id, product_id
         FROM packages WHERE sender_title <> '"Family" shop'
     ), chosen AS (SELECT DISTINCT segment, pay FROM segments), tagged AS (
-        SELECT r.*, coalesce(CASE r.stat WHEN 'delivered/true' THEN 'zaverweno' WHEN 'cancelled/true' THEN 'otmeneno'
+        SELECT r.*, coalesce(CASE r.stat WHEN 'delivered/true' THEN 'zaverweno' WHEN 'taken/true' THEN 'zaverweno' WHEN 'returned/true' THEN 'vozvrat' WHEN 'cancelled/true' THEN 'otmeneno'
             WHEN 'cancelled/false' THEN 'otmeneno' END, s.ttt) AS ttt
         FROM rows r JOIN chosen c ON c.pay IS NULL OR c.pay = r.pay_title
         LEFT JOIN segments s ON s.segment = c.segment AND s.stat = r.stat

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import fixed_values as fv
 from ledgerloom.functions.status import (
     Lender,
     cancel_reason,
     progress_description,
+    progress_label,
     return_description,
     stage_of,
     terminal_description,
@@ -25,6 +25,7 @@ from ledgerloom.operators.taxonomy import (
 )
 from ledgerloom.plans.orders import category_titles
 from registry.core import Tables, query
+from registry.fragments import KINDS, PLACE, REASON, STAGE, WHEREABOUTS
 
 # Oracle side: first seven statuses numbered, the gap found by comparing
 # numbers, later rows renumbered.
@@ -109,15 +110,13 @@ def _(t: Tables):
 @query(
     "stage_ladder",
     f"""
-    WITH {NUMBERED}, gaps AS (
+    WITH {KINDS}, {NUMBERED}, gaps AS (
         SELECT s.uid, min(n.n) AS gap FROM spans s JOIN numbered n ON n.uid = s.uid
         WHERE n.n BETWEEN 2 AND 5 AND n.n < s.size AND contains(n.status, 'cancel') GROUP BY s.uid
     ), labelled AS (
-        SELECT n.uid, CASE WHEN n.n > g.gap THEN n.n - 1 ELSE n.n END AS m, CASE
-            WHEN contains(status, 'cancel') THEN 'отменен' WHEN status = 'new' THEN 'создано'
-            WHEN status = 'pending_approve' THEN 'анкета не заполнена'
-            WHEN status = 'on_delivery' THEN 'договор подписан' WHEN status = 'delivered' THEN 'завершен' END AS label
-        FROM numbered n LEFT JOIN gaps g ON g.uid = n.uid WHERE n.n IS DISTINCT FROM g.gap
+        SELECT n.uid, CASE WHEN n.n > g.gap THEN n.n - 1 ELSE n.n END AS m, coalesce(funnel, 'отменен') AS label
+        FROM numbered n LEFT JOIN gaps g ON g.uid = n.uid LEFT JOIN kinds ON kind = status
+        WHERE n.n IS DISTINCT FROM g.gap
     ), five AS (
         SELECT uid, list_resize(list(label ORDER BY m)[1:5], 5, NULL) AS l FROM labelled GROUP BY uid
     ), laddered AS (
@@ -148,16 +147,16 @@ def _staged_history(t: Tables):
 
 @query(
     "stage_durations",
-    """
-    WITH days AS (
+    f"""
+    WITH {KINDS}, staged AS (
+        SELECT uid, updated_on, row_id, status, cast(updated_on AS DATE) AS day, {STAGE} AS stage
+        FROM order_history LEFT JOIN kinds ON kind = status
+    ), days AS (
         SELECT uid, arg_min(status, (updated_on, row_id)) AS opened,
-            max(cast(updated_on AS DATE)) FILTER ((status = 'new' AND NOT paid) OR (status = 'pending_approve' AND NOT paid AND pay_types = 'COD')) AS created,
-            max(cast(updated_on AS DATE)) FILTER (status IN ('new', 'pending_approve')
-                AND (paid OR (status = 'pending_approve' AND pay_types <> 'COD'))) AS received,
-            max(cast(updated_on AS DATE)) FILTER (status = 'on_delivery') AS accepted,
-            max(cast(updated_on AS DATE)) FILTER (status = 'delivered') AS completed,
-            max(cast(updated_on AS DATE)) FILTER (contains(status, 'cancel')) AS cancelled
-        FROM order_history GROUP BY uid
+            max(day) FILTER (stage = 'создано') AS created, max(day) FILTER (stage = 'оформлено') AS received,
+            max(day) FILTER (stage = 'принято') AS accepted, max(day) FILTER (stage = 'завершено') AS completed,
+            max(day) FILTER (stage = 'отменено') AS cancelled
+        FROM staged GROUP BY uid
     ), filled AS (
         SELECT uid, CASE WHEN received IS NULL AND accepted IS NOT NULL THEN accepted
                 WHEN received IS NULL AND opened = 'pending_approve' THEN created
@@ -187,29 +186,19 @@ def _(t: Tables):
 @query(
     "terminal_description",
     f"""
-    WITH {NUMBERED}, reasons AS (
-        SELECT uid, max(CASE WHEN contains(status, 'cancel') THEN coalesce(
-            CASE WHEN cancelled_reason = 'active' THEN 'активная заявка' END,
-            CASE WHEN bank_status = 'cancel' THEN 'отказ: скоринг' END,
-            CASE cancelled_reason WHEN 'CLIENT.DECLINE' THEN 'отменено клиентом' WHEN 'error' THEN 'общие ошибки'
-                WHEN 'Таймаут на решении клиента' THEN 'отменено по timeout' END,
-            CASE WHEN bank_status = 'rejected' THEN 'отказ: вн. проверки банка' END,
-            CASE regexp_extract(status, 'cancelledby(.*)', 1) WHEN 'bank' THEN 'отменено банком'
-                WHEN 'client' THEN 'отменено клиентом' ELSE 'отменено' END) END) AS reason
-        FROM order_history GROUP BY uid
+    WITH {KINDS}, {WHEREABOUTS}, {NUMBERED}, reasons AS (
+        SELECT uid, max({REASON}) FILTER (contains(status, 'cancel')) AS reason FROM order_history GROUP BY uid
     ), slots AS (
-        SELECT p.uid, r.reason, string_split(path, '>') AS s FROM spans p JOIN reasons r ON r.uid = p.uid
-    ), described AS (
-        SELECT uid, reason, coalesce(s[2], '') AS s2, coalesce(s[3], '') AS s3, coalesce(s[4], '') AS s4,
-            CASE s[3] WHEN 'on_delivery' THEN 'принято' WHEN 'delivered' THEN 'завершено'
-                WHEN 'new' THEN 'оформлено' WHEN 'pending_approve' THEN 'оформлено' END AS label3 FROM slots
+        SELECT p.uid, r.reason, s[2] AS s2, s[3] AS s3, s[4] AS s4, s[5] AS s5, k.progress AS label3
+        FROM (SELECT uid, string_split(path, '>') AS s FROM spans) p JOIN reasons r ON r.uid = p.uid
+        LEFT JOIN kinds k ON k.kind = s[3]
     )
-    SELECT uid, CASE
-            WHEN s2 = 'on_delivery' OR s3 IN ('on_delivery', 'delivered') THEN 'на доставке'
-            WHEN s2 = 'pending_approve' THEN 'одобрено' END AS state_1,
-        CASE WHEN contains(s4, 'cancel') THEN reason WHEN 'delivered' IN (s3, s4) THEN 'доставлен' END AS state_2,
-        cast(NULL AS VARCHAR) AS state_3
-    FROM described
+    SELECT uid,
+        coalesce({PLACE}, CASE WHEN s2 = 'pending_approve' THEN 'одобрено' END) AS state_1,
+        CASE WHEN contains(s4, 'cancel') THEN reason WHEN s4 = 'taken' OR s3 = 'taken' THEN 'выдан'
+            WHEN s4 = 'delivered' OR s3 = 'delivered' THEN 'доставлен' END AS state_2,
+        CASE WHEN s4 = 'returned' OR s5 = 'returned' THEN 'возвращен' END AS state_3
+    FROM slots
     """,
 )
 def _(t: Tables):
@@ -218,9 +207,7 @@ def _(t: Tables):
     rows = _sequences(t).join(reasons, "uid").select(
         "uid", "reason", *timeline.slots(F.col("statuses"), "s", 5)
     )
-    label3 = F.when(F.col("s3").isin("new", "pending_approve"), fv.SUBMITTED).when(
-        F.col("s3") == "on_delivery", fv.ACCEPTED
-    ).when(F.col("s3") == "delivered", fv.COMPLETED)
+    label3 = progress_label(F.col("s3"))
     s2, s3, s4, s5, reason = (F.col(c) for c in ("s2", "s3", "s4", "s5", "reason"))
     return rows.select(
         "uid",
