@@ -73,14 +73,13 @@ from ledgerloom.sinks import alert_rows
 ORDER_LINE = ["uid", "product_merchant_id", "sender_title"]
 
 
-def package_lines(packages: DataFrame, market: Market) -> DataFrame:
+def package_lines(packages: DataFrame, market: Market, *extra: str) -> DataFrame:
     """Distinct order lines with their total, the test merchant left out."""
     kept = packages
     if market.test_merchant is not None:
         kept = kept.where(F.col("product_merchant_id") != market.test_merchant)
-    return kept.select(
-        *ORDER_LINE, "product_id", line_total(F.col("sku_price"), F.col("sku_amount")).alias("line_total")
-    ).distinct()
+    total = line_total(F.col("sku_price"), F.col("sku_amount")).alias("line_total")
+    return kept.select(*ORDER_LINE, *extra, total).distinct()
 
 
 def stage_rows(history: DataFrame, market: Market, kept: Column, tie_break: str) -> DataFrame:
@@ -160,7 +159,7 @@ def orders_mart(
 ) -> DataFrame:
     """Latest row per order, payment and stage with package, product, city and user."""
     lines = (
-        package_lines(packages, market)
+        package_lines(packages, market, "product_id")
         .join(
             _item_titles(nomenclature, categories, market), ["product_id", "product_merchant_id"], "left"
         )
@@ -242,7 +241,7 @@ def _timelines(rows: DataFrame, tie_break: str) -> DataFrame:
 
 
 def _attach_lines(orders: DataFrame, packages: DataFrame, market: Market) -> DataFrame:
-    lines = package_lines(packages, market).select(*ORDER_LINE, "line_total").distinct()
+    lines = package_lines(packages, market)
     return inner_on_measure(orders, lines, ["uid"], "amount", "line_total")
 
 

@@ -42,16 +42,18 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting (tests) gets a temporary
-    folder of this machine; on a cluster the setting is required, because
-    executors must all see the files.
+    Where the setting is absent, the session's checkpoint folder is used. Only
+    a local-mode session without either (tests) gets a temporary folder of this
+    machine; on a cluster one of them is required, because executors must all
+    see the files.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        base = context.getCheckpointDir()
     return base.rstrip("/")
 
 

@@ -555,9 +555,7 @@ def _(t: Tables):
 PHONE = """CASE WHEN d[1] = '8' THEN '7' || d[2:] WHEN strlen(d) = 10 THEN '7' || d WHEN strlen(d) > 11 THEN d[-11:] ELSE d END"""
 
 
-@query(
-    "abandoned_events",
-    f"""
+ABANDONED = f"""
     WITH shown AS (SELECT * FROM packages WHERE NOT contains(sender_title, 'Family')), phones AS (
         SELECT *, {PHONE} AS phone FROM (
             SELECT *, regexp_replace(user_mobile, '[+ -]', '', 'g') AS d FROM order_history WHERE status = 'new')
@@ -573,14 +571,34 @@ PHONE = """CASE WHEN d[1] = '8' THEN '7' || d[2:] WHEN strlen(d) = 10 THEN '7' |
         o.promocode_name, o.common_discount_size, o.user_city, s.sender_title, s.product_name, s.sku_price * s.sku_amount AS total
     FROM open_rows o JOIN shown s ON s.uid = o.uid
     QUALIFY row_number() OVER (PARTITION BY o.phone ORDER BY s.product_id, s.sku_id, s.product_merchant_id, s.sku_price * s.sku_amount) = 1
-    """,
-)
-def _(t: Tables):
+"""
+
+
+def _abandoned(t: Tables):
     return orders.abandoned_orders(
         t.order_history, t.packages, market(), NOW, TIE, start_hours=400, end_hours=1
     )
 
 
+@query("abandoned_events", ABANDONED)
+def _(t: Tables):
+    return _abandoned(t)
+
+
+@query(
+    "abandoned_report",
+    f"""
+    SELECT user_name AS "ФИО клиента", phone AS "Номер телефона", uid AS "Номер заказа", pay_title AS "Способ оплаты",
+        ordered_at AS "Дата заказа", promocode_name AS "Использованный промокод",
+        common_discount_size AS "Сумма скидки по промокоду", user_city AS "Город", sender_title AS "Продавец",
+        product_name AS "Товар", total AS "Цена товара (без промокода)"
+    FROM ({ABANDONED})
+    """,
+)
+def _(t: Tables):
+    return with_headers(_abandoned(t), fv.ABANDONED_HEADERS)
+
+
 SEGMENTS = """
     segments(segment, pay, stat, ttt) AS (VALUES
         ('any', NULL, 'new/false', 'oformleno'), ('any', NULL, 'pending_approve/false', 'postupilo'),
