@@ -66,9 +66,10 @@ def _(t: Tables):
     ), titled AS (
         SELECT l.id, pos, title FROM levels l JOIN categories c ON c.id = l.token
     )
-    SELECT n.id, max(title) FILTER (pos = 1) AS cat1, max(title) FILTER (pos = 2) AS cat2,
-        max(title) FILTER (pos = 3) AS cat3, max(title) FILTER (pos = 4) AS cat4
-    FROM nomenclature n LEFT JOIN titled ON titled.id = n.id GROUP BY n.id
+    SELECT n.id, cat1, cat2, cat3, cat4 FROM nomenclature n LEFT JOIN (
+        SELECT id, max(title) FILTER (pos = 1) AS cat1, max(title) FILTER (pos = 2) AS cat2,
+            max(title) FILTER (pos = 3) AS cat3, max(title) FILTER (pos = 4) AS cat4
+        FROM titled GROUP BY id) t ON t.id = n.id
     """,
 )
 def _(t: Tables):
