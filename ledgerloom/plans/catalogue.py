@@ -226,12 +226,14 @@ def product_prices(
     """Price spread per item, sellers at the greatest price, and who they are.
 
     Sellers and brand are first counted per (item, name, price); the item's
-    greatest price then joins to exactly one of these rows.
+    greatest price then joins to exactly one of these rows. The spread is over
+    active merchants, the seller count over all; brands are known of active ones.
     """
-    offers = _prices(nomenclature, market)
-    active = offers.join(active_merchants(merchants, market), "merchant_id")
+    active = active_merchants(merchants, market).withColumn("is_active", F.lit(True))
+    offers = _not_test(_prices(nomenclature, market), market).join(active, "merchant_id", "left")
     spread = (
-        active.groupBy("sku_id", "category_id", "name_ebt")
+        offers.where("is_active")
+        .groupBy("sku_id", "category_id", "name_ebt")
         .agg(
             F.min("price").alias("minprice"),
             F.max("price").alias("maxprice"),
@@ -240,14 +242,11 @@ def product_prices(
         .join(_titles(categories, "category_id", "cat1"), "category_id", "left")
     )
     item = ["sku_id", "name_ebt", "price"]
-    at_price = count_distinct_by(_not_test(offers, market), item, "merchant_id", "sellers_maxprice")
-    brand_at_price = active.groupBy(*item).agg(F.max("brand").alias("brand"))
-    same = F.col("minprice") == F.col("maxprice")
-    at_top = (
-        spread.withColumn("price", F.col("maxprice"))
-        .join(at_price, item, "left")
-        .join(brand_at_price, item, "left")
+    at_price = offers.groupBy(*item).agg(
+        F.countDistinct("merchant_id").alias("sellers_maxprice"), F.max("brand").alias("brand")
     )
+    same = F.col("minprice") == F.col("maxprice")
+    at_top = spread.withColumn("price", F.col("maxprice")).join(at_price, item, "left")
     sellers_at_top = F.coalesce("sellers_maxprice", F.lit(0))
     return at_top.select(
         "sku_id",

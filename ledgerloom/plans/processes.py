@@ -167,15 +167,19 @@ def process_flow(
     incidents: DataFrame,
     executions: DataFrame,
 ) -> DataFrame:
-    """One row per process and open task; newest first."""
+    """One row per process and open task. Reports sort it (``newest_first``);
+    a stored table has no order, and sorting would compute the joins twice."""
     rows = _process_rows(tasks, processes, employees, incidents, executions, None)
-    shown = rows.select(
+    return rows.select(
         *_shown(False),
         keep_if(F.col("state") == "true", F.col("completed_state")).alias("completed_state"),
         "incident_msg_",
         "error_dtime",
     )
-    return order_output(shown, [("start_dtime", "desc")])
+
+
+def newest_first(rows: DataFrame) -> DataFrame:
+    return order_output(rows, [("start_dtime", "desc")])
 
 
 def process_steps(
@@ -185,7 +189,7 @@ def process_steps(
     incidents: DataFrame,
     executions: DataFrame,
 ) -> DataFrame:
-    """The same with one row per step of the process; newest first."""
+    """The same with one row per step of the process."""
     steps = (
         tasks.where(F.col("proc_def_id_").isNotNull())
         .select(
@@ -200,11 +204,10 @@ def process_steps(
         .distinct()
     )
     rows = _process_rows(tasks, processes, employees, incidents, executions, steps)
-    shown = rows.select(
+    return rows.select(
         *_shown(True),
         *STEP,
         keep_if(F.col("state") == "true", F.col("completed_state")).alias("completed_state"),
         "incident_msg_",
         "error_dtime",
     )
-    return order_output(shown, [("start_dtime", "desc")])

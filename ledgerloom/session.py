@@ -10,13 +10,16 @@ from pyspark.sql import SparkSession
 # Joins are written without broadcast hints: Spark broadcasts a side only when
 # its statistics (static or, under AQE, measured) fall below the threshold, and
 # otherwise sort-merges with skewed partitions split. forceOptimizeSkewedJoin
-# lets the split happen even if an aggregation on the same key follows.
+# lets the split happen even if an aggregation on the same key follows. Methods
+# above 8000 bytes of bytecode are never compiled by the JVM, so stages with very
+# wide CASE projections run better as several smaller generated classes.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -759,7 +759,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     flow = processes.process_flow(t.task_history, t.processes, t.employees, t.incidents, t.executions)
-    return with_headers(flow, fv.PROCESS_FLOW_HEADERS)
+    return with_headers(processes.newest_first(flow), fv.PROCESS_FLOW_HEADERS)
 
 
 DETAILS = """
