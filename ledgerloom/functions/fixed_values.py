@@ -87,6 +87,21 @@ REASON_BANK = "отменено банком"
 REASON_MERCHANT = "отменено партнером"
 REASON_PLAIN = "отменено"
 CLIENT_TIMEOUT_CODE = "Таймаут на решении клиента"
+REASON_RULES = (
+    ("cancelled_reason", "active", REASON_ACTIVE),
+    ("bank_status", "cancel", REASON_SCORING),
+    ("cancelled_reason", "CLIENT.DECLINE", REASON_CLIENT),
+    ("cancelled_reason", "error", REASON_ERROR),
+    ("cancelled_reason", CLIENT_TIMEOUT_CODE, REASON_TIMEOUT),
+    ("bank_status", "rejected", REASON_BANK_CHECK),
+)
+STATUS_REASONS = (
+    ("%cancelledbybank%", REASON_BANK),
+    ("%cancelledbyclient%", REASON_CLIENT),
+    ("%cancelledbymerchant%", REASON_MERCHANT),
+    ("%cancelledbytimeout%", REASON_TIMEOUT),
+    (CANCEL_PATTERN, REASON_PLAIN),
+)
 KEPT_REASON_PATTERNS = ("%отменено%", "%отказ%", "%общие ошибки%", "%активная заявка%")
 
 # Delivery labels.
@@ -107,6 +122,21 @@ APPROVED = "одобрено"
 HANDED_OVER = "выдан"
 DELIVERED = "доставлен"
 GIVEN_BACK = "возвращен"
+# Text, place (second or third status), statuses there; the first hit counts.
+WHEREABOUTS = (
+    (POST_WITH_COURIER, 3, ("courier_delivery",)),
+    (POST_WAITS_PARCEL, 3, ("awaiting_parcel_ready",)),
+    (POST_WAITS_COURIER, 3, ("awaiting_courier_pickup", "sync_with_delivery")),
+    (AT_PICKUP, 2, ("pending_pickup",)),
+    (AT_PICKUP, 3, ("pending_pickup", "taken")),
+    (ON_DELIVERY, 2, ("on_delivery",)),
+    (ON_DELIVERY, 3, ("on_delivery", "delivered")),
+    (AT_SIGNING, 2, ("awaiting_loan_approve",)),
+    (WAITS_FORM, 2, ("approved_not_filled",)),
+    (AT_MERCHANT, 2, ("filled_not_approved",)),
+)
+POST_STATUSES = ("awaiting_parcel_ready", "sync_with_delivery", "awaiting_courier_pickup")
+ENDINGS = ((HANDED_OVER, "taken"), (DELIVERED, "delivered"))
 
 # Payment products.
 CREDIT_CARD = "Кредитная карта"
@@ -123,6 +153,67 @@ BANK_CARD = "Банковская карта"
 BUY_IN_PARTS = "В рассрочку"
 CASH = "Оплата наличными"
 
+# Tariff codes and wordings per payment product. {code} and {title}
+# stand for the lender's product code and wording.
+CARD_CODES = {
+    CARD_4: ("ACQUIRING_0_4",),
+    CARD_6: ("ACQUIRING_0_6",),
+    CARD_12: ("ACQUIRING_0_12",),
+}
+CARD_TITLES = {
+    CARD_4: ("Кредитная карта в рассрочку на 4 месяца", "Кредитная карта на 4 месяца"),
+    CARD_6: ("Кредитная карта в рассрочку на 6 месяцев", "Кредитная карта на 6 месяцев"),
+    CARD_12: ("Кредитная карта в рассрочку на 12 месяцев", "Кредитная карта на 12 месяцев"),
+    CREDIT_CARD: (
+        "В рассрочку",
+        "Кредитная карта в рассрочку на undefined месяцев",
+        "Кредитная карта в рассрочку на 24 месяцев",
+        "В рассрочку по кред. карте",
+    ),
+}
+EXPRESS_CODES = {
+    INSTALMENT_4: ("{code}_0_4",),
+    INSTALMENT_12: ("{code}_0_12",),
+    INSTALMENT_24: ("{code}_0_24",),
+    CREDIT_6: ("{code}_18_6",),
+    CREDIT_12: ("{code}_18_12",),
+    CREDIT_24: ("{code}_18_24",),
+}
+LOAN_TITLES = {
+    INSTALMENT_4: (
+        "В рассрочку на 4 месяца",
+        "В рассрочку на 4 месяцев",
+        "Рассрочка на 4 месяца",
+    ),
+    INSTALMENT_12: ("В рассрочку на 12 месяцев", "Рассрочка на 12 месяцев"),
+    INSTALMENT_24: ("В рассрочку на 24 месяцев", "Рассрочка на 24 месяца"),
+    CREDIT_6: (
+        "{title} на 6 месяцев",
+        "В рассрочку на 6 месяцев",
+        "Кредит на 6 месяцев",
+    ),
+    CREDIT_12: ("Кредит на 12 месяцев",),
+    CREDIT_24: (
+        "{title} на 24 месяцев",
+        "{title} на 24 месяцa",
+        "Кредит на 24 месяца",
+    ),
+}
+# Tariff columns besides the lender's, and the whole list in order.
+CARD_RATE = {BANK_CARD: ("CARD_0_0",)}
+RATE_CODES = (
+    "{code}_0_4",
+    "{code}_0_12",
+    "{code}_0_24",
+    "{code}_18_6",
+    "{code}_18_12",
+    "{code}_18_24",
+    "CARD_0_0",
+    "ACQUIRING_0_4",
+    "ACQUIRING_0_6",
+    "ACQUIRING_0_12",
+)
+
 # Payment wordings left out of the order marts.
 SKIPPED_PAY_TITLES = ("Оплата в рассрочку", "Оплата онлайн")
 SKIPPED_PAY_TYPE = "CREDIT"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
 from ledgerloom.functions import fixed_values as fv
-from ledgerloom.functions.rules import multi_col_rules, value_map
+from ledgerloom.functions.rules import multi_col_rules, pattern_map, value_map
 
 
 def is_cancel(status: Column) -> Column:
@@ -46,21 +47,10 @@ def stage_number(stage: Column) -> Column:
 
 def cancel_reason(stage: Column, status: Column, reason: Column, bank_status: Column) -> Column:
     """Reason of a cancel: reason code or bank answer first, then the status itself."""
-    cancelled = stage == fv.CANCELLED
-    return multi_col_rules(
-        [
-            (cancelled & (reason == "active"), fv.REASON_ACTIVE),
-            (cancelled & (bank_status == "cancel"), fv.REASON_SCORING),
-            (cancelled & (reason == "CLIENT.DECLINE"), fv.REASON_CLIENT),
-            (cancelled & (reason == "error"), fv.REASON_ERROR),
-            (cancelled & (reason == fv.CLIENT_TIMEOUT_CODE), fv.REASON_TIMEOUT),
-            (cancelled & (bank_status == "rejected"), fv.REASON_BANK_CHECK),
-            (status.like("%cancelledbybank%"), fv.REASON_BANK),
-            (status.like("%cancelledbyclient%"), fv.REASON_CLIENT),
-            (status.like("%cancelledbymerchant%"), fv.REASON_MERCHANT),
-            (status.like("%cancelledbytimeout%"), fv.REASON_TIMEOUT),
-            (is_cancel(status), fv.REASON_PLAIN),
-        ]
+    sources = {"cancelled_reason": reason, "bank_status": bank_status}
+    by_code = multi_col_rules([(sources[c] == value, label) for c, value, label in fv.REASON_RULES])
+    return F.coalesce(
+        F.when(stage == fv.CANCELLED, by_code), pattern_map(status, fv.STATUS_REASONS)
     )
 
 
@@ -85,6 +75,13 @@ class Lender:
     def pattern(self) -> str:
         return f"%{self.code}%"
 
+    def named(self, table: Mapping[str, Sequence[str]]) -> dict[str, tuple[str, ...]]:
+        """A fixed table with this lender's code and wording filled in."""
+        return {
+            label: tuple(text.format(code=self.code, title=self.title) for text in texts)
+            for label, texts in table.items()
+        }
+
     def pay_group(self, pay_types: Column, pay_title: Column) -> Column:
         """Payment wording that orders are grouped by."""
         return multi_col_rules(
@@ -102,104 +99,50 @@ class Lender:
         product, remaining wordings, in this order; else the wording as it is.
 
         ``loan_product`` is already canonical (``LOAN_PRODUCTS``) or NULL."""
-        card_codes = {
-            fv.CARD_4: ("ACQUIRING_0_4",),
-            fv.CARD_6: ("ACQUIRING_0_6",),
-            fv.CARD_12: ("ACQUIRING_0_12",),
-        }
-        card_titles = {
-            fv.CARD_4: ("Кредитная карта в рассрочку на 4 месяца", fv.CARD_4),
-            fv.CARD_6: ("Кредитная карта в рассрочку на 6 месяцев", fv.CARD_6),
-            fv.CARD_12: ("Кредитная карта в рассрочку на 12 месяцев", fv.CARD_12),
-            fv.CREDIT_CARD: (
-                fv.BUY_IN_PARTS,
-                "Кредитная карта в рассрочку на undefined месяцев",
-                "Кредитная карта в рассрочку на 24 месяцев",
-                "В рассрочку по кред. карте",
-            ),
-        }
-        express_codes = {
-            fv.INSTALMENT_4: (f"{self.code}_0_4",),
-            fv.INSTALMENT_12: (f"{self.code}_0_12",),
-            fv.INSTALMENT_24: (f"{self.code}_0_24",),
-            fv.CREDIT_6: (f"{self.code}_18_6",),
-            fv.CREDIT_12: (f"{self.code}_18_12",),
-            fv.CREDIT_24: (f"{self.code}_18_24",),
-        }
-        other_titles = {
-            fv.CREDIT_12: (fv.CREDIT_12,),
-            fv.CREDIT_24: (
-                f"{self.title} на 24 месяцев",
-                f"{self.title} на 24 месяцa",
-                fv.CREDIT_24,
-            ),
-            fv.CREDIT_6: (f"{self.title} на 6 месяцев", "В рассрочку на 6 месяцев", fv.CREDIT_6),
-            fv.INSTALMENT_12: ("В рассрочку на 12 месяцев", fv.INSTALMENT_12),
-            fv.INSTALMENT_24: ("В рассрочку на 24 месяцев", fv.INSTALMENT_24),
-            fv.INSTALMENT_4: (
-                "В рассрочку на 4 месяца",
-                "В рассрочку на 4 месяцев",
-                fv.INSTALMENT_4,
-            ),
-        }
+        known = self.named
         return F.coalesce(
-            value_map(pay_code, card_codes),
-            value_map(pay_title, card_titles),
-            value_map(pay_code, express_codes),
+            value_map(pay_code, fv.CARD_CODES),
+            value_map(pay_title, fv.CARD_TITLES),
+            value_map(pay_code, known(fv.EXPRESS_CODES)),
             loan_product,
-            value_map(pay_title, other_titles),
+            value_map(pay_title, known(fv.LOAN_TITLES)),
             F.when(pay_types.like(self.pattern), self.title),
             pay_title,
         )
 
     def rate_columns(self) -> dict[str, str]:
         """Payment product to the tariff column that holds its rate."""
-        return {
-            fv.CREDIT_24: f"{self.code}_18_24",
-            fv.CREDIT_12: f"{self.code}_18_12",
-            fv.CREDIT_6: f"{self.code}_18_6",
-            fv.INSTALMENT_24: f"{self.code}_0_24",
-            fv.INSTALMENT_12: f"{self.code}_0_12",
-            fv.INSTALMENT_4: f"{self.code}_0_4",
-            fv.CARD_12: "ACQUIRING_0_12",
-            fv.CARD_6: "ACQUIRING_0_6",
-            fv.CARD_4: "ACQUIRING_0_4",
-            fv.BANK_CARD: "CARD_0_0",
-        }
+        tables = (self.named(fv.EXPRESS_CODES), fv.CARD_CODES, fv.CARD_RATE)
+        return {product: codes[0] for table in tables for product, codes in table.items()}
+
+    def rate_codes(self) -> list[str]:
+        """All tariff columns, in their stored order."""
+        return [text.format(code=self.code) for text in fv.RATE_CODES]
 
 
 def progress_description(
     s2: Column, s3: Column, s4: Column, label3: Column, reason: Column, pay: Column, lender: Lender
 ) -> Column:
     """Where an order that was taken up stands now."""
-    post_moves = s3.isin("awaiting_parcel_ready", "sync_with_delivery", "awaiting_courier_pickup")
-    waiting = s2 == "pending_approve"
+    places = {2: s2, 3: s3}
+    waiting = F.when(pay == lender.title, fv.APPROVED).when(pay != lender.title, fv.AT_MERCHANT)
     return multi_col_rules(
         [
             (is_cancel(s3) & (label3 != fv.ACCEPTED), reason),
-            ((s3 == "courier_delivery") | (post_moves & (s4 == "delivered")), fv.POST_WITH_COURIER),
-            (s3 == "awaiting_parcel_ready", fv.POST_WAITS_PARCEL),
-            (s3.isin("awaiting_courier_pickup", "sync_with_delivery"), fv.POST_WAITS_COURIER),
-            ((s2 == "pending_pickup") | s3.isin("pending_pickup", "taken"), fv.AT_PICKUP),
-            ((s2 == "on_delivery") | s3.isin("on_delivery", "delivered"), fv.ON_DELIVERY),
-            (s2 == "awaiting_loan_approve", fv.AT_SIGNING),
-            (s2 == "approved_not_filled", fv.WAITS_FORM),
-            (s2 == "filled_not_approved", fv.AT_MERCHANT),
-            (waiting & (pay == lender.title), fv.APPROVED),
-            (waiting & (pay != lender.title), fv.AT_MERCHANT),
+            (s3.isin(*fv.POST_STATUSES) & (s4 == "delivered"), fv.POST_WITH_COURIER),
+            *[(places[place].isin(*statuses), text) for text, place, statuses in fv.WHEREABOUTS],
+            (s2 == "pending_approve", waiting),
         ]
     )
 
 
 def terminal_description(s3: Column, s4: Column, label3: Column, reason: Column) -> Column:
     """How the order ended: cancel reason, handed over, delivered."""
-    either = lambda status: (s4 == status) | (s3 == status)
     return multi_col_rules(
         [
             (is_cancel(s3) & (label3 == fv.ACCEPTED), reason),
             (is_cancel(s4), reason),
-            (either("taken"), fv.HANDED_OVER),
-            (either("delivered"), fv.DELIVERED),
+            *[((s4 == status) | (s3 == status), text) for text, status in fv.ENDINGS],
         ]
     )
 

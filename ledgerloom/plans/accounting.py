@@ -20,6 +20,7 @@ from ledgerloom.operators.latest import latest_per_key
 from ledgerloom.operators.unions import union_all
 from ledgerloom.plans.market import Market
 
+# Columns of the statement, in order.
 TERMINAL_ROW = [
     "commersant",
     "filial",

@@ -366,9 +366,7 @@ def stores(records: DataFrame) -> DataFrame:
 
 def tariffs(records: DataFrame, lender: Lender) -> DataFrame:
     """One row per merchant and category with a column per rate code."""
-    express = [f"{lender.code}_{rate}" for rate in ("0_4", "0_12", "0_24", "18_6", "18_12", "18_24")]
-    codes = [*express, "CARD_0_0", "ACQUIRING_0_4", "ACQUIRING_0_6", "ACQUIRING_0_12"]
-    return explode_rate_map(records.select("merchant_id", "tariffs"), "tariffs", codes)
+    return explode_rate_map(records.select("merchant_id", "tariffs"), "tariffs", lender.rate_codes())
 
 
 def parameters(documents: DataFrame) -> DataFrame:
