@@ -28,7 +28,7 @@ from ledgerloom.operators.aggregates import (
 from ledgerloom.operators.taxonomy import CATALOGUE_STEPS, Step, repair_taxonomy
 from ledgerloom.operators.unions import union_all
 from ledgerloom.plans.market import Market, active_merchants, is_active, is_available, listed
-from ledgerloom.plans.orders import category_titles
+from ledgerloom.plans.orders import category_titles, with_category_titles
 
 ITEM = [
     "merchant_id",
@@ -206,7 +206,7 @@ def price_list(
     """Price per seller with the least and greatest price of the item."""
     offers = _prices(nomenclature, market)
     spread = min_max_by(
-        _not_test(offers, market),
+        _not_test(listed(nomenclature, market).where(is_active()), market),
         ["sku_id"],
         {"minprice": ("min", "price"), "maxprice": ("max", "price")},
     )
@@ -332,8 +332,15 @@ def catalog_counts(
     same category with the same count; without it all paths are summed.
     """
     counted = _path_counts(products, nomenclature, market, grain)
-    repaired = repair_taxonomy(category_titles(counted, categories, 5), LEVELS, steps)
-    rows = counted.join(repaired, "categories_array").where(F.col("cat1").isNotNull())
+    if grain:
+        # Many rows per path: titles once per distinct path of the inputs, joined back.
+        inputs = [listed(nomenclature, market), catalogue_products(products, market)]
+        paths = union_all([df.select("categories_array") for df in inputs])
+        repaired = repair_taxonomy(category_titles(paths, categories, 5), LEVELS, steps)
+        titled = counted.join(repaired, "categories_array")
+    else:
+        titled = repair_taxonomy(with_category_titles(counted, categories, 5), LEVELS, steps)
+    rows = titled.where(F.col("cat1").isNotNull())
     keys = [*LEVELS, *grain]
     if compat:
         measures = F.array(

@@ -573,20 +573,22 @@ def purchases_report(
     )
 
 
+def with_category_titles(rows: DataFrame, categories: DataFrame, depth: int) -> DataFrame:
+    """Add ``cat1..catN``, the titles along ``categories_array``."""
+    path = braced_list(F.col("categories_array"))
+    keys = {f"_id{k}": level(path, k) for k in range(1, depth + 1)}
+    targets = {key: f"cat{k}" for k, key in enumerate(keys, 1)}
+    looked_up = lookup_levels(rows.withColumns(keys), targets, categories, "id", "title")
+    return looked_up.drop(*keys)
+
+
 def category_titles(paths: DataFrame, categories: DataFrame, depth: int) -> DataFrame:
     """Titles ``cat1..catN`` of each distinct ``categories_array``.
 
     Paths repeat over very many items, so the lookups run on distinct paths.
     """
     distinct = paths.select("categories_array").distinct()
-    split = distinct.withColumn("_a", braced_list(F.col("categories_array")))
-    keyed = split.select(
-        "categories_array", *[level(F.col("_a"), k).alias(f"_id{k}") for k in range(1, depth + 1)]
-    )
-    looked_up = lookup_levels(
-        keyed, {f"_id{k}": f"cat{k}" for k in range(1, depth + 1)}, categories, "id", "title"
-    )
-    return looked_up.drop(*[f"_id{k}" for k in range(1, depth + 1)])
+    return with_category_titles(distinct, categories, depth)
 
 
 def period_mismatch_alerts(
