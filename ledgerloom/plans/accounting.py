@@ -79,6 +79,7 @@ def _order_state(
 
 
 def _merchant_details(merchants: DataFrame, requisites: DataFrame) -> DataFrame:
+    """Legal name, state and requisites, one row per merchant."""
     owners = merchants.select(F.col("id").alias("merch_id"), "legal_name", "state")
     details = requisites.select(
         F.col("merchant_id").alias("merch_id"),
@@ -86,23 +87,24 @@ def _merchant_details(merchants: DataFrame, requisites: DataFrame) -> DataFrame:
         F.col("bik").alias("merchant_bik"),
         F.col("legal_id").alias("merchant_bin"),
     )
-    return owners.join(details, "merch_id", "left")
+    order = ["merchant_bin", "merchant_iban", "merchant_bik", "legal_name", "state"]
+    joined = owners.join(details, "merch_id", "left")
+    return latest_per_key(joined, ["merch_id"], [F.col(name).asc() for name in order])
 
 
-def _one_invoice_per_order(
-    invoices: DataFrame, details: DataFrame, orders: DataFrame, how: str
-) -> DataFrame:
-    """Invoice rows with merchant and order state, one row per order.
+def _one_invoice_per_order(invoices: DataFrame, orders: DataFrame) -> DataFrame:
+    """Invoice rows with the state of their order, one row per order: lowest
+    invoice, item and merchant first. Invoices without an order form one group.
 
-    The order state is already one row per order, so the choice is only among
-    an order's invoice lines: lowest invoice, item and merchant first. Invoices
-    without an order form one group.
+    The choice is made per order number first, straight from the scan, so that
+    only one row per order is joined; the second choice then only concerns the
+    invoices whose order is unknown.
     """
-    joined = invoices.join(details, "merch_id", how).join(
-        orders, F.col("order_id") == F.col("uid"), "left"
-    )
     order = ["invoice_id", "item_id", "merch_id", "bank_trans_id", "item_price", "item_qnt"]
-    return latest_per_key(joined, ["uid"], [F.col(name).asc() for name in order])
+    lowest = [F.col(name).asc() for name in order]
+    chosen = latest_per_key(invoices, ["order_id"], lowest)
+    joined = chosen.join(orders, F.col("order_id") == F.col("uid"), "left")
+    return latest_per_key(joined, ["uid"], lowest)
 
 
 def _invoice_columns(market: Market) -> list[Column]:
@@ -141,17 +143,24 @@ def sales_rows(
     market: Market,
     tie_break: str,
     active_only: bool = False,
+    short_period: bool = False,
 ) -> DataFrame:
-    """Express-loan invoices in the period, at the tariff of the item's category."""
+    """Express-loan invoices in the period, at the tariff of the item's category.
+
+    For a ``short_period`` the order history and the catalogue are first cut
+    down to the orders and items invoiced in it.
+    """
     details = _merchant_details(merchants, requisites)
     if market.hidden_legal_name is not None:
         details = details.where(F.col("legal_name") != market.hidden_legal_name)
     if active_only:
         details = details.where(F.col("state") == "ACTIVE")
-    sold = invoices.where((F.col("bank_trans_code") == market.lender.code) & created)
-    states = _order_state(history, tie_break, sold)
-    chosen = _one_invoice_per_order(sold, details, states, "inner")
-    categories = nomenclature.select(
+    express = invoices.where((F.col("bank_trans_code") == market.lender.code) & created)
+    sold = semi_lookup(express, details, "merch_id", "merch_id")
+    states = _order_state(history, tie_break, express if short_period else None)
+    chosen = _one_invoice_per_order(sold, states).join(details, "merch_id")
+    items = semi_lookup(nomenclature, express, "id", "item_id") if short_period else nomenclature
+    categories = items.select(
         F.col("id").alias("item_id"),
         F.translate(first_part(F.col("categories_array")), "{", "").alias("_cat"),
     )
@@ -195,11 +204,10 @@ def bank_rows(
     rates = tariffs.groupBy(F.col("merchant_id").alias("merch_id")).agg(
         *[F.max(code).alias(code) for code in codes]
     )
-    chosen = _one_invoice_per_order(
-        invoices, _merchant_details(merchants, requisites), _order_state(history, tie_break), "left"
-    )
+    chosen = _one_invoice_per_order(invoices, _order_state(history, tie_break))
     invoiced = (
-        chosen.join(rates, "merch_id", "left")
+        chosen.join(_merchant_details(merchants, requisites), "merch_id", "left")
+        .join(rates, "merch_id", "left")
         .select(*_invoice_columns(market))
         .withColumn("_key", F.concat("operation_id", F.lit("9")))
     )
@@ -236,6 +244,7 @@ def bank_statement(
         on_previous_day(F.col("created_on"), as_of),
         market,
         tie_break,
+        short_period=True,
     )
     booked = on_day(F.col("_booked"), as_of)
     rows = bank_rows(

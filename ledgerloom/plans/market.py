@@ -15,7 +15,7 @@ from ledgerloom.functions.status import Lender
 class Market:
     scope: str = "market"
     catalogue_scope: str = "{catalogue}"
-    terminal_type: str = "{KASSA}"
+    terminal_type: str = "{DESK}"
     account_brand: str = "market"
     test_merchant: str | None = None
     hidden_sender: str | None = None

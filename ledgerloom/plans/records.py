@@ -70,7 +70,7 @@ NOMENCLATURE = FlattenSpec(
     ),
 )
 
-KASSA_NOMENCLATURE = FlattenSpec(
+DESK_NOMENCLATURE = FlattenSpec(
     schema=NOMENCLATURE.schema,
     columns={
         "id": "_id",
@@ -334,7 +334,7 @@ DIGITAL_ORDERS = FlattenSpec(
 
 DOCUMENT_SPECS = {
     "nomenclature": NOMENCLATURE,
-    "kassa_nomenclature": KASSA_NOMENCLATURE,
+    "desk_nomenclature": DESK_NOMENCLATURE,
     "products": PRODUCTS,
     "showcase": SHOWCASE,
     "categories": CATEGORIES,

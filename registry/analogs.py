@@ -36,7 +36,7 @@ ANALOGS = {
             event_id AS row_id,
             cast({_UID} as string) AS uid,
             'U' || cast(user_id as string) AS owner,
-            CASE WHEN user_id % 13 = 12 THEN 'kassa' ELSE 'market' END AS scope,
+            CASE WHEN user_id % 13 = 12 THEN 'desk' ELSE 'market' END AS scope,
             CASE event_type WHEN 'signup' THEN 'new'
                 WHEN 'view' THEN CASE event_id % 8 WHEN 0 THEN 'awaiting_loan_approve'
                     WHEN 1 THEN 'filled_not_approved' WHEN 2 THEN 'approved_not_filled' ELSE 'pending_approve' END
@@ -129,7 +129,7 @@ ANALOGS = {
                 ELSE l_tax < 0.05 END AS available,
             CASE WHEN l_partkey % 19 > 0 THEN 'P' || cast(l_partkey as string) END AS product_id,
             CASE WHEN l_partkey % 23 > 0 THEN 'S' || cast(l_partkey % 700 as string) END AS sku_id,
-            CASE WHEN l_linenumber = 7 THEN 'kassa' ELSE 'market' END AS sale_channels
+            CASE WHEN l_linenumber = 7 THEN 'desk' ELSE 'market' END AS sale_channels
         FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
     """,
     # Catalogue documents: products and showcase share this shape.
@@ -173,7 +173,7 @@ ANALOGS = {
                 WHEN s_suppkey % 3 = 0 THEN ' shop-' || cast(s_suppkey % 40 as string) || ' east '
                 ELSE 'SHOP ' || cast(s_suppkey % 40 as string) END AS brand,
             CASE WHEN s_acctbal > 1000 THEN 'ACTIVE' ELSE 'BLOCKED' END AS state,
-            CASE WHEN s_suppkey % 4 = 0 THEN '{{KASSA}}' ELSE '{{MARKET}}' END AS merchant_type,
+            CASE WHEN s_suppkey % 4 = 0 THEN '{{DESK}}' ELSE '{{MARKET}}' END AS merchant_type,
             'LLC ' || cast(s_suppkey as string) AS legal_name,
             '7701' || cast(s_suppkey as string) AS telephone,
             '{{food,home}}' AS biz_categories,

@@ -888,7 +888,7 @@ def _(t: Tables):
         q.tariff_plan, q.tariff_price, k.status, q.client_type, q.pos_term_type,
         strftime(k.created_date, '%Y-%m-%d %H:%M:%S') AS created_date, m.biz_categories, k.store_id
     FROM terminals k JOIN merchants m ON m.id = k.merchant_id LEFT JOIN requisites q ON q.merchant_id = k.merchant_id
-    WHERE m.merchant_type = '{KASSA}'
+    WHERE m.merchant_type = '{DESK}'
     """,
 )
 def _(t: Tables):

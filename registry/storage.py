@@ -47,8 +47,8 @@ def _(t: Tables):
 @query(
     "scan_documents_many",
     """
-    SELECT 'kassa_nomen_nation' AS index_name, cast(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation
-    UNION ALL SELECT 'kassa_nomen_region', cast(r_regionkey AS VARCHAR), r_name FROM region
+    SELECT 'desk_nomen_nation' AS index_name, cast(n_nationkey AS VARCHAR) AS id, n_name AS name FROM nation
+    UNION ALL SELECT 'desk_nomen_region', cast(r_regionkey AS VARCHAR), r_name FROM region
     """,
 )
 def _(t: Tables):
@@ -57,11 +57,11 @@ def _(t: Tables):
         landed = getattr(t, table).select(
             F.col(key).cast("string").alias("_id"), F.struct(F.col(name).alias("name")).alias("_source")
         )
-        sinks.write_full_refresh(landed, f"{base}/kassa_nomen_{table}", "json")
+        sinks.write_full_refresh(landed, f"{base}/desk_nomen_{table}", "json")
     schema = "_id string, _source struct<name string>"
-    documents = scan_documents(t.spark, f"{base}/kassa_nomen_*", schema, origin="file")
+    documents = scan_documents(t.spark, f"{base}/desk_nomen_*", schema, origin="file")
     return documents.select(
-        F.regexp_extract("file", r"(kassa_nomen_\w+)/", 1).alias("index_name"),
+        F.regexp_extract("file", r"(desk_nomen_\w+)/", 1).alias("index_name"),
         F.col("_id").alias("id"),
         F.col("_source.name").alias("name"),
     )

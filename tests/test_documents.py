@@ -36,8 +36,8 @@ def test_items_keep_optional_and_drop_incomplete(spark, tmp_path):
     assert found["1"]["categories_array"] == "{x,y}"
     assert found["2"]["bar_code"] is None and found["2"]["price"] is None
     assert sorted(r["_id"] for r in rejected(df, spec).collect()) == ["3", "4", "5"]
-    kassa = {r["id"] for r in flatten(df, records.KASSA_NOMENCLATURE).collect()}
-    assert kassa == {"1", "2", "5"}
+    desk = {r["id"] for r in flatten(df, records.DESK_NOMENCLATURE).collect()}
+    assert desk == {"1", "2", "5"}
 
 
 @pytest.mark.parametrize("name", ["products", "showcase"])
