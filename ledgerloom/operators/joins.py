@@ -104,7 +104,7 @@ def anti_later_event(
     )
     return (
         rows.join(later, F.col(key) == F.col("_k"), "left")
-        .where(F.col("_last").isNull() | ~(F.col("_last") > F.col(moment)))
+        .where(~F.coalesce(F.col("_last") > F.col(moment), F.lit(False)))
         .drop("_k", "_last")
     )
 

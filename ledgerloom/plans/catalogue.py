@@ -184,13 +184,11 @@ def enabled_disabled(
     )
 
 
-def _prices(nomenclature: DataFrame, market: Market) -> DataFrame:
-    """Distinct offers of active items."""
-    return (
-        listed(nomenclature, market)
-        .where(is_active())
-        .select("sku_id", "name_ebt", "merchant_id", "price", _first_category().alias("category_id"))
-        .distinct()
+def _offers(nomenclature: DataFrame, market: Market) -> DataFrame:
+    """Offers of active items; repeated ones are left to the aggregation that follows."""
+    active = listed(nomenclature, market).where(is_active())
+    return active.select(
+        "sku_id", "name_ebt", "merchant_id", "price", _first_category().alias("category_id")
     )
 
 
@@ -204,9 +202,9 @@ def price_list(
     nomenclature: DataFrame, merchants: DataFrame, categories: DataFrame, market: Market
 ) -> DataFrame:
     """Price per seller with the least and greatest price of the item."""
-    offers = _prices(nomenclature, market)
+    offers = _offers(nomenclature, market)
     spread = min_max_by(
-        _not_test(listed(nomenclature, market).where(is_active()), market),
+        _not_test(offers, market),
         ["sku_id"],
         {"minprice": ("min", "price"), "maxprice": ("max", "price")},
     )
@@ -230,7 +228,7 @@ def product_prices(
     active merchants, the seller count over all; brands are known of active ones.
     """
     active = active_merchants(merchants, market).withColumn("is_active", F.lit(True))
-    offers = _not_test(_prices(nomenclature, market), market).join(active, "merchant_id", "left")
+    offers = _not_test(_offers(nomenclature, market), market).join(active, "merchant_id", "left")
     spread = (
         offers.where("is_active")
         .groupBy("sku_id", "category_id", "name_ebt")

@@ -7,6 +7,7 @@ from ledgerloom.sinks.writers import (
     write_date_slice,
     write_fan_out,
     write_full_refresh,
+    write_jdbc,
     write_report,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "write_date_slice",
     "write_fan_out",
     "write_full_refresh",
+    "write_jdbc",
     "write_report",
 ]

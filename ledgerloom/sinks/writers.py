@@ -18,6 +18,16 @@ def write_append(df: DataFrame, target: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(target)
 
 
+def write_jdbc(
+    df: DataFrame, url: str, table: str, append: bool = False, batch: int = 10000, **options: str
+) -> None:
+    """Store rows in a database table. A refresh truncates and keeps the table's
+    definition; every partition of ``df`` writes over its own connection."""
+    writer = df.write.format("jdbc").mode("append" if append else "overwrite")
+    settings = {"url": url, "dbtable": table, "truncate": "true", "batchsize": str(batch)}
+    writer.options(**settings, **options).save()
+
+
 def write_date_slice(df: DataFrame, target: str, date_col: str, as_of: date) -> None:
     """Store every row of ``df`` as the slice of ``as_of``, replacing that slice.
 

@@ -1,6 +1,7 @@
 """Sinks, reports, the streaming form of the publish log."""
 
 from datetime import date, datetime
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,17 @@ def test_copy_changes_format(spark, tmp_path, bag):
     assert bag(spark.read.schema("x string").json(target)) == [("é",)] * 3
 
 
+@pytest.mark.parametrize("append, mode", [(False, "overwrite"), (True, "append")])
+def test_database_writer_settings(append, mode):
+    """No database may be started here; only the writer calls are checked."""
+    df = MagicMock()
+    sinks.write_jdbc(df, "jdbc:x", "t", append=append, user="u")
+    df.write.format.assert_called_with("jdbc")
+    df.write.format().mode.assert_called_with(mode)
+    options = df.write.format().mode().options.call_args.kwargs
+    assert options["dbtable"] == "t" and options["truncate"] == "true" and options["user"] == "u"
+
+
 def test_report_headers(spark, tmp_path, bag):
     target = str(tmp_path / "r")
     sinks.write_report(spark.range(2).withColumn("x", F.lit('a,"b"')), ["№", "Имя"], target)

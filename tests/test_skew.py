@@ -73,6 +73,13 @@ def test_anti_later_event(hot, bag):
     assert bag(ours) == bag(plain)
 
 
+def test_anti_later_event_without_a_time(spark, bag):
+    """A row without a time has no later row, so it stays."""
+    history = spark.createDataFrame([(1, None, "new"), (1, 5, "done"), (2, 1, "new"), (2, 5, "done")], "k int, t int, s string")
+    left = anti_later_event(history.where("s = 'new'"), history, "k", "t", "s", "new")
+    assert bag(left) == [(1, None, "new")]
+
+
 def test_latest_completed_keeps_ties_and_open_rows(spark, bag):
     steps = spark.createDataFrame(
         [
