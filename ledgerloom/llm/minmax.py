@@ -8,11 +8,12 @@ grouped into ``bands``; sets that agree on a whole band are candidates, and a
 candidate is a link only if the full sets are similar enough.
 
 Equal sets are one class from the start. In a band's bucket each class is
-compared with the bucket's least one, which connects groups of copies with one
-comparison per member; after that only classes of a bucket that are still in
-different components are compared with each other. So all candidates that
-could join two components are confirmed, and pairs inside a component are not
-listed.
+compared with the bucket's least one, its centre, which connects groups of copies with one
+comparison per member. Two classes of a bucket have the same centre, so what is
+left are pairs of members of one centre that are still in different components.
+A centre's members outside its component are dealt into tiles, all its members
+into others, and a tile meets a tile: pairs are compared by their full sets in
+arrays, and only links come out.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ class Banding(NamedTuple):
 
 #: Sets of similarity 0.8 meet with probability 1 - 4e-8, of 0.3 with 0.10.
 BANDING = Banding(bands=43, rows=5)
+TILE = 128
 
 
 def shingles(column, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,6 +145,57 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInArrow(compare, both.select("a", "b").schema).distinct()
 
 
+def _across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of one centre that are in different components.
+
+    ``members`` has ``centre``, ``rep``, ``label`` and ``other`` (not in the centre's
+    component). A tile holds about ``TILE`` members, so a group is twice that.
+    """
+    tiles = lambda n: F.ceil(F.sum(n) / F.lit(TILE)).cast("int")
+    counts = members.groupBy("centre").agg(
+        F.count("*").alias("n"), tiles(F.col("other").cast("int")).alias("rows"), tiles(F.lit(1)).alias("columns")
+    )
+    counts = counts.where("rows > 0 AND n > 2")
+    known = members.join(counts, "centre")
+    tile = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = known.where("other").select("centre", tile("rows").alias("i"), each("columns").alias("j"), F.lit(True).alias("left"), "rep", "label")
+    right = known.select("centre", each("rows").alias("i"), tile("columns").alias("j"), F.lit(False).alias("left"), "rep", "label")
+    dealt = left.union(right).join(texts.withColumnRenamed("id", "rep"), "rep")
+
+    def compare(table):
+        reps, labels = table["rep"].combine_chunks(), table["label"].to_numpy()
+        values, cuts = shingles(table["text"], size)
+        n = np.diff(cuts)
+        kinds, place = np.unique(values, return_inverse=True)
+        one = table["left"].to_numpy().astype(bool) & (n > 0)
+        many = np.flatnonzero(~table["left"].to_numpy().astype(bool) & (n > 0))
+        theirs = np.concatenate([place[cuts[r] : cuts[r + 1]] for r in many]) if len(many) else place[:0]
+        begin = np.cumsum(n[many]) - n[many]
+        root = {x: x for x in labels.tolist()}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        found = []
+        for left in np.flatnonzero(one) if len(many) else ():
+            mark = np.zeros(len(kinds), np.int64)
+            mark[place[cuts[left] : cuts[left + 1]]] = 1
+            shared = np.add.reduceat(mark[theirs], begin)
+            for right in many[100 * shared >= percent * (n[left] + n[many] - shared)].tolist():
+                a, b = top(labels[left]), top(labels[right])
+                if a != b:
+                    root[a] = b
+                    found.append((left, right))
+        rows = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table([reps.take(pa.array(rows[:, 0])), reps.take(pa.array(rows[:, 1]))], names=["a", "b"])
+
+    pair = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
+    return dealt.groupBy("centre", "i", "j").applyInArrow(compare, pair).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -173,12 +226,13 @@ def near_duplicates(
     signed = stored(set_classes(docs, size, banding, id_col, text_col), "sets")
     named = signed.where("id IS NOT NULL AND n > 0")
     classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
-    keyed = classes.select("rep", "n", F.explode("bands").alias("key"))
-    centre = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("members")).where("members > 1")
-    buckets = stored(keyed.join(centre, "key").select("key", "rep", "n", "centre", "members"), "buckets")
-    star = buckets.where("rep <> centre").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
+    keyed = classes.select("rep", F.explode("bands").alias("key"))
+    centre = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1").select("key", "centre")
+    star = keyed.join(centre, "key").where("rep <> centre").select("centre", "rep").distinct()
+    star = stored(star, "candidates")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
-    links = stored(_confirmed(star, texts, size, percent), "links")
+    pairs = star.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+    links = stored(_confirmed(pairs, texts, size, percent), "links")
 
     # Copies of a set, and rows of one id with several sets, are links already.
     members = named.select("id", "n", "s1", "s2").distinct()
@@ -186,19 +240,13 @@ def near_duplicates(
     same = stored(same.select(F.col("id").alias("a"), F.col("rep").alias("b")).distinct(), "copies")
 
     labels = component_labels(links.union(same))
-    placed = buckets.where("members > 2").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    placed = stored(placed.select("key", "rep", "n", "centre", F.coalesce("label", "rep").alias("label")), "placed")
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = placed.where("rep <> centre").join(split, "key", "left_semi")
-    other = open_.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-    across = (
-        open_.withColumnRenamed("rep", "a")
-        .join(other, "key")
-        .where((F.col("label") < F.col("label_b")) & (100 * F.least("n", "n_b") >= percent * F.greatest("n", "n_b")))
-        .select("a", "b")
-        .distinct()
-    )
-    more = stored(_confirmed(across, texts, size, percent), "links")
+    own = labels.select(F.col("node").alias("rep"), "label")
+    its = labels.select(F.col("node").alias("centre"), F.col("label").alias("centre_label"))
+    members = star.union(star.select("centre", F.col("centre").alias("rep")).distinct())
+    members = members.join(own, "rep", "left").join(its, "centre", "left")
+    label, centre_label = F.coalesce("label", "rep"), F.coalesce("centre_label", "centre")
+    members = stored(members.select("centre", "rep", label.alias("label"), (label != centre_label).alias("other")), "members")
+    more = stored(_across(members, texts, size, percent), "links")
     if more.take(1):
         labels = component_labels(links.union(same).union(more))
     component = F.coalesce("label", "id")
