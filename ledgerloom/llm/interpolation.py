@@ -170,8 +170,8 @@ def mixture_weights(histogram: DataFrame, order: int, rounds: int = ROUNDS) -> n
     ``histogram`` has ``bucket``, ``steps`` (per order, the estimate as eighths of
     an octave below 1; null: 0) and ``n``. Buckets are fitted apart from each
     other, one task each; a bucket has a bounded number of cells. Buckets
-    without tokens take the weights of all tokens. No weight is zero, so every
-    token has a probability.
+    without tokens take the weights of all tokens; without any, all weight is on
+    order 0. No weight is zero, so every token has a probability.
     """
 
     def fit(key, table):
@@ -187,7 +187,7 @@ def mixture_weights(histogram: DataFrame, order: int, rounds: int = ROUNDS) -> n
         return pa.Table.from_arrays(columns, ["bucket", "n", "weights"])
 
     found = histogram.groupBy("bucket").applyInArrow(fit, "bucket int, n long, weights array<double>").collect()
-    weights = np.full((CONTEXTS, order + 1), 1 / (order + 1))
+    weights = np.tile(np.eye(order + 1)[0], (CONTEXTS, 1))
     if found:
         total = sum(row["n"] for row in found)
         weights[:] = sum(np.array(row["weights"]) * row["n"] for row in found) / total
