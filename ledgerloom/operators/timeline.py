@@ -23,29 +23,36 @@ def ordered_statuses(number: Column, status: Column) -> Column:
     return F.transform(pairs, lambda pair: pair["s"])
 
 
+def numbered_statuses(number: Column, status: Column) -> Column:
+    """Aggregate: statuses of a group in the places of their numbers, from 1 to
+    the greatest; numbers that are not in the group leave a NULL. Of equal
+    numbers the greatest status counts."""
+    pairs = F.collect_set(F.struct(number.alias("n"), status.alias("s")))
+    named = lambda i: F.filter(pairs, lambda pair: pair["n"] == i)
+    return F.transform(F.sequence(F.lit(1), F.max(number)), lambda i: F.array_max(F.transform(named(i), lambda p: p["s"])))
+
+
 def status_sequence(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     status: str,
+    count: int,
     into: str = "statuses",
-    slots: int = SLOTS,
 ) -> DataFrame:
-    """First ``slots`` statuses of each key, in order, as an array."""
-    first = first_per_key(df, keys, order, slots, "_n")
+    """First ``count`` statuses of each key, in order, as an array."""
+    first = first_per_key(df, keys, order, count, "_n")
     return first.groupBy(*keys).agg(ordered_statuses(F.col("_n"), F.col(status)).alias(into))
 
 
 def drop_first_resumed_cancel(statuses: Column, last_position: Column | int = 5) -> Column:
-    """Remove the first cancel in positions 2..last that another status follows."""
+    """Remove the first cancel in positions 2..last whose next position holds a status."""
     resumed = F.filter(
         F.sequence(F.lit(2), F.lit(last_position) if isinstance(last_position, int) else last_position),
-        lambda i: (i < F.size(statuses)) & is_cancel(F.get(statuses, i - 1)),
+        lambda i: F.get(statuses, i).isNotNull() & is_cancel(F.get(statuses, i - 1)),
     )
     gap = F.get(resumed, F.lit(0))
-    closed = F.concat(
-        F.slice(statuses, F.lit(1), gap - 1), F.slice(statuses, gap + 1, F.lit(2 * SLOTS))
-    )
+    closed = F.filter(statuses, lambda _, i: i != gap - 1)
     return F.when(gap.isNull(), statuses).otherwise(closed)
 
 
@@ -62,11 +69,11 @@ def slots(array: Column, prefix: str, count: int) -> list[Column]:
 
 
 def excluded_from_funnel(statuses: Column, closed: Column) -> Column:
-    """1 when there is a single status, or the second one left is a plain,
+    """1 when there is no second status, or the second one left is a plain,
     timeout or client cancel; bank and merchant cancels stay in."""
     second = level(closed, 2)
     return F.when(
-        (F.size(statuses) == 1) | second.isin(*fv.EXCLUDED_SECOND_STATUSES), F.lit(1)
+        level(statuses, 2).isNull() | second.isin(*fv.EXCLUDED_SECOND_STATUSES), F.lit(1)
     )
 
 

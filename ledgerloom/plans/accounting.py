@@ -59,6 +59,7 @@ STATEMENT = [
     "pay_title",
     "comm_comp",
 ]
+BANK_ROW = STATEMENT[: STATEMENT.index("invoice_id")]
 MONEY = "decimal(18,2)"
 
 
@@ -92,19 +93,22 @@ def _merchant_details(merchants: DataFrame, requisites: DataFrame) -> DataFrame:
     return latest_per_key(joined, ["merch_id"], [F.col(name).asc() for name in order])
 
 
-def _one_invoice_per_order(invoices: DataFrame, orders: DataFrame) -> DataFrame:
+def _one_invoice_per_order(
+    invoices: DataFrame, orders: DataFrame, compat: bool = False
+) -> DataFrame:
     """Invoice rows with the state of their order, one row per order: lowest
-    invoice, item and merchant first. Invoices without an order form one group.
+    invoice, item and merchant first.
 
-    The choice is made per order number first, straight from the scan, so that
-    only one row per order is joined; the second choice then only concerns the
-    invoices whose order is unknown.
+    The choice is made per order number straight from the scan, so that only one
+    row per order is joined, and invoices whose order is unknown keep one row
+    per order number as well. ``compat=True`` keeps a single row for all of
+    them, as the old statement did.
     """
     order = ["invoice_id", "item_id", "merch_id", "bank_trans_id", "item_price", "item_qnt"]
     lowest = [F.col(name).asc() for name in order]
     chosen = latest_per_key(invoices, ["order_id"], lowest)
     joined = chosen.join(orders, F.col("order_id") == F.col("uid"), "left")
-    return latest_per_key(joined, ["uid"], lowest)
+    return latest_per_key(joined, ["uid"], lowest) if compat else joined
 
 
 def _invoice_columns(market: Market) -> list[Column]:
@@ -144,6 +148,7 @@ def sales_rows(
     tie_break: str,
     active_only: bool = False,
     short_period: bool = False,
+    compat: bool = False,
 ) -> DataFrame:
     """Express-loan invoices in the period, at the tariff of the item's category.
 
@@ -158,7 +163,7 @@ def sales_rows(
     express = invoices.where((F.col("bank_trans_code") == market.lender.code) & created)
     sold = semi_lookup(express, details, "merch_id", "merch_id")
     states = _order_state(history, tie_break, express if short_period else None)
-    chosen = _one_invoice_per_order(sold, states).join(details, "merch_id")
+    chosen = _one_invoice_per_order(sold, states, compat).join(details, "merch_id")
     items = semi_lookup(nomenclature, express, "id", "item_id") if short_period else nomenclature
     categories = items.select(
         F.col("id").alias("item_id"),
@@ -194,6 +199,7 @@ def bank_rows(
     booked: Column,
     market: Market,
     tie_break: str,
+    compat: bool = False,
 ) -> DataFrame:
     """Uploaded bank rows of the period with the invoice they pay.
 
@@ -204,20 +210,29 @@ def bank_rows(
     rates = tariffs.groupBy(F.col("merchant_id").alias("merch_id")).agg(
         *[F.max(code).alias(code) for code in codes]
     )
-    chosen = _one_invoice_per_order(invoices, _order_state(history, tie_break))
+    uploaded = bank.where(F.col("upload").isNotNull())
+    day = uploaded.withColumn("_booked", business_day(F.col("upload"))).where(booked)
+    # Only orders with an invoice that one of these rows pays are looked at: the
+    # choice is made per order, over all its invoices.
+    paid = semi_lookup(
+        invoices.withColumn("_paid_by", F.concat("bank_trans_id", F.lit("9"))), day, "_paid_by", "order_id"
+    )
+    known = invoices if compat else semi_lookup(invoices, paid, "order_id", "order_id")
+    states = _order_state(history, tie_break, None if compat else known)
     invoiced = (
-        chosen.join(_merchant_details(merchants, requisites), "merch_id", "left")
+        _one_invoice_per_order(known, states, compat)
+        .join(_merchant_details(merchants, requisites), "merch_id", "left")
         .join(rates, "merch_id", "left")
         .select(*_invoice_columns(market))
         .withColumn("_key", F.concat("operation_id", F.lit("9")))
     )
-    uploaded = bank.where(F.col("upload").isNotNull())
-    day = uploaded.withColumn("_booked", business_day(F.col("upload"))).where(booked)
+    # A row uploaded again is the same row: the time of upload only chooses the day.
+    once = day.select(*BANK_ROW).distinct()
     return (
-        day.distinct()
-        .join(invoiced, F.col("order_id") == F.col("_key"), "left")
+        once.join(invoiced, F.col("order_id") == F.col("_key"), "left")
         .withColumn("invoice_type", typed_null("string"))
         .select(*STATEMENT)
+        .distinct()
     )
 
 
@@ -232,6 +247,7 @@ def bank_statement(
     market: Market,
     as_of: Moment,
     tie_break: str,
+    compat: bool = False,
 ) -> DataFrame:
     """Yesterday's express-loan sales and the bank rows booked today."""
     sales = sales_rows(
@@ -245,10 +261,11 @@ def bank_statement(
         market,
         tie_break,
         short_period=True,
+        compat=compat,
     )
     booked = on_day(F.col("_booked"), as_of)
     rows = bank_rows(
-        bank, invoices, merchants, requisites, history, tariffs, booked, market, tie_break
+        bank, invoices, merchants, requisites, history, tariffs, booked, market, tie_break, compat
     )
     return union_all([sales, rows])
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions import fixed_values as fv
 from ledgerloom.functions.nested import json_text
@@ -59,6 +59,7 @@ from ledgerloom.operators.timeline import (
     fill_stage_dates,
     funnel_label,
     latest_date_per_label,
+    numbered_statuses,
     order_ladder,
     slots,
     stage_durations,
@@ -223,34 +224,42 @@ def orders_mart(
     )
 
 
-def _timelines(rows: DataFrame, tie_break: str) -> DataFrame:
-    """Ordered statuses, reason and stage days per order and payment.
+def _timelines(
+    rows: DataFrame, packages: DataFrame, market: Market, tie_break: str
+) -> DataFrame:
+    """Ordered statuses, reason and stage days per order, payment, line and price.
 
-    Statuses are numbered once per order and payment, before packages are
-    attached, so an order with several matching lines keeps one timeline.
+    Statuses are numbered once per order and payment, over the rows that have a
+    line of their amount, before lines are attached: an order with several
+    matching lines keeps one timeline, and where the price changed, each price
+    shows its statuses in their places and NULL in the others.
     """
+    lines = package_lines(packages, market)
+    totals = lines.select(F.col("uid").alias("_uid"), "line_total").distinct()
+    matched = rows.join(
+        totals, (F.col("uid") == F.col("_uid")) & (F.col("amount") == F.col("line_total")), "left_semi"
+    )
+    # One row per stage of an order and payment, so seven at most are numbered.
+    number = Window.partitionBy("uid", "pay").orderBy("updated_second", tie_break)
+    numbered = matched.withColumn("_n", F.row_number().over(number))
     day = F.to_date("updated_on")
-    entry = F.struct("updated_second", F.col(tie_break).alias("tie"), "status")
-    ordered = F.array_sort(F.collect_list(entry))
-    return rows.groupBy("uid", "pay", "amount", F.col("common_price").alias("total")).agg(
-        F.transform(F.slice(ordered, 1, SLOTS), lambda e: e["status"]).alias("statuses"),
+    attached = inner_on_measure(numbered, lines, ["uid"], "amount", "line_total")
+    return attached.groupBy(
+        "uid", "pay", "sender_title", "product_merchant_id", F.col("common_price").alias("total")
+    ).agg(
+        numbered_statuses(F.col("_n"), F.col("status")).alias("statuses"),
         F.max("reason").alias("reason"),
         F.min(day).alias("first_day"),
         *latest_date_per_label(F.col("stage"), day, STAGE_DATES),
     )
 
 
-def _attach_lines(orders: DataFrame, packages: DataFrame, market: Market) -> DataFrame:
-    lines = package_lines(packages, market)
-    return inner_on_measure(orders, lines, ["uid"], "amount", "line_total")
-
-
 def credit_orders(
     history: DataFrame, packages: DataFrame, market: Market, tie_break: str
 ) -> DataFrame:
     """Funnel of express-loan orders that opened as new."""
     rows = stage_rows(history, market, F.col("pay_types").like(market.lender.pattern), tie_break)
-    timelines = _timelines(rows, tie_break).where(F.get("statuses", F.lit(0)) == "new")
+    timelines = _timelines(rows, packages, market, tie_break).where(F.get("statuses", F.lit(0)) == "new")
     closed = timelines.withColumn("closed", drop_first_resumed_cancel(F.col("statuses")))
     five = closed.select(
         "*",
@@ -268,7 +277,7 @@ def credit_orders(
         }
     )
     ladder = credit_ladder([F.col(f"label_{k}") for k in range(1, 6)])
-    return _attach_lines(orders, packages, market).select(
+    return orders.select(
         "uid",
         F.col("pay").alias("pay_title"),
         "sender_title",
@@ -288,7 +297,7 @@ def passed_orders(
     """Orders that reached the merchant: stage ladder, stage days, durations, final state."""
     rows = stage_rows(history, market, marketable(market), tie_break)
     first = F.get("statuses", F.lit(0))
-    timelines = _timelines(rows, tie_break).where(first.isin("new", "pending_approve"))
+    timelines = _timelines(rows, packages, market, tie_break).where(first.isin("new", "pending_approve"))
     closed = timelines.withColumn("closed", with_created_first(F.col("statuses")))
     labels = stage_labels(F.col("closed"), F.col("reason"))
     staged = closed.select(
@@ -313,7 +322,7 @@ def passed_orders(
     timed = stage_durations(received, as_of)
     s2, s3, s4, s5 = (F.col(f"s{k}") for k in range(2, 6))
     label3, reason = F.col("label_3"), F.col("cancelled_reason")
-    return _attach_lines(timed, packages, market).select(
+    return timed.select(
         "uid",
         F.col("pay").alias("pay_title"),
         "sender_title",

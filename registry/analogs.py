@@ -59,7 +59,7 @@ ANALOGS = {
                 ELSE 'Банковская карта' END AS pay_title,
             ts - (event_id % 7) * interval '1' hour AS created_on,
             ts AS updated_on,
-            (100 + ({_UID}) % 97 * 10) * 2 AS common_price,
+            (100 + ({_UID}) % 97 * 10) * 2 - CASE WHEN event_id % 9 = 0 THEN 10 ELSE 0 END AS common_price,
             CASE WHEN user_id % 3 = 0 THEN (100 + ({_UID}) % 97 * 10) * 3 END AS common_old_price,
             CASE WHEN event_id % 4 > 0 THEN cast(event_id % 4 * 5 as string) END
                 AS common_discount_size,
@@ -230,7 +230,7 @@ ANALOGS = {
     "invoices": """
         SELECT
             'V' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) AS invoice_id,
-            cast(l_orderkey as string) AS order_id,
+            CASE WHEN l_orderkey % 13 = 0 THEN 'lost-' ELSE '' END || cast(l_orderkey as string) AS order_id,
             'I' || cast(l_orderkey as string) || '-' || cast(l_linenumber as string) || '-'
                 || cast(l_partkey as string) || '-'
                 || CASE WHEN l_linenumber % 3 = 0 THEN 'none' ELSE cast(l_suppkey as string) END AS item_id,
@@ -261,6 +261,16 @@ ANALOGS = {
             CASE WHEN o_orderkey % 11 > 0 THEN cast(date '2024-01-01' + cast(o_orderkey % 31 as int) as timestamp)
                 + (o_orderkey % 24) * interval '1' hour END AS upload
         FROM {orders}
+        UNION ALL
+        SELECT
+            o_orderdate,
+            'T' || cast(o_orderkey as string) || '-' || cast(o_custkey % 2 as string) || '9',
+            'C' || cast(o_custkey as string), 'F1', 'TERM' || cast(o_custkey % 50 as string),
+            cast(o_orderkey % 9999 as string), '440000', cast(floor(o_totalprice) as bigint), o_orderkey % 100,
+            cast(floor(o_totalprice) as bigint) - o_orderkey % 100, 'KZT', 'R', 'E',
+            CASE WHEN o_orderkey % 11 > 0 THEN cast(date '2024-01-01' + cast(o_orderkey % 31 as int) as timestamp)
+                + (o_orderkey % 24) * interval '1' hour + interval '1' minute END
+        FROM {orders} WHERE o_orderkey % 7 = 0
     """,
     "requisites": """
         SELECT

@@ -41,12 +41,19 @@ LATEST = f"""
 """
 # Statuses numbered per order and payment.
 NUMBERED = """
-    numbered AS (
+    placed AS (
         SELECT uid, pay, amount, common_price AS total, status, progress, funnel, reason, stage, cast(updated_on AS DATE) AS day,
-            row_number() OVER (PARTITION BY uid, pay ORDER BY date_trunc('second', updated_on), row_id) AS n,
-            count(*) OVER (PARTITION BY uid, pay) AS size
-        FROM chosen
-    ), heads AS (SELECT uid, pay, status AS opened FROM numbered WHERE n = 1)
+            row_number() OVER (PARTITION BY uid, pay ORDER BY date_trunc('second', updated_on), row_id) AS n
+        FROM chosen c WHERE EXISTS (SELECT 1 FROM lines s WHERE s.uid = c.uid AND s.line_total = c.amount)
+    ), numbered AS (
+        SELECT p.*, sender_title, product_merchant_id, concat_ws('|', p.uid, pay, sender_title, product_merchant_id, total) AS k,
+            max(n) OVER (PARTITION BY p.uid, pay, sender_title, product_merchant_id, total) AS size
+        FROM placed p JOIN lines s ON s.uid = p.uid AND s.line_total = p.amount
+    ), heads AS (SELECT DISTINCT k, status AS opened FROM numbered WHERE n = 1),
+    resumed AS (
+        SELECT DISTINCT a.k, a.n FROM numbered a JOIN numbered b ON b.k = a.k AND b.n = a.n + 1
+        WHERE a.n BETWEEN 2 AND 5 AND contains(a.status, 'cancel')
+    )
 """
 
 
@@ -432,30 +439,31 @@ def _(t: Tables):
     "mart_credit_funnel",
     f"""
     WITH {LATEST}, chosen AS (SELECT * FROM latest WHERE pay_types = 'EXPRESS'), {NUMBERED}, gaps AS (
-        SELECT uid, pay, min(n) AS gap FROM numbered WHERE n BETWEEN 2 AND 5 AND n < size AND contains(status, 'cancel')
-        GROUP BY uid, pay
+        SELECT k, min(n) AS gap FROM resumed GROUP BY k
     ), moved AS (
         SELECT n.*, g.gap, CASE WHEN n.n = g.gap THEN NULL WHEN n.n > g.gap THEN n.n - 1 ELSE n.n END AS m,
             coalesce(funnel, 'отменен') AS label
-        FROM numbered n LEFT JOIN gaps g USING (uid, pay) JOIN heads h USING (uid, pay) WHERE h.opened = 'new'
+        FROM numbered n LEFT JOIN gaps g USING (k) JOIN heads h USING (k) WHERE h.opened = 'new'
     ), wide AS (
-        SELECT uid, pay, amount, total, max(reason) AS reason, min(day) AS first_day, max(size) AS size,
+        SELECT uid, pay, sender_title, product_merchant_id, total, max(reason) AS reason, min(day) AS first_day,
+            max(status) FILTER (n = 2) AS second,
             max(status) FILTER (m = 1) AS status_1, max(status) FILTER (m = 2) AS status_2, max(status) FILTER (m = 3) AS status_3,
             max(status) FILTER (m = 4) AS status_4, max(status) FILTER (m = 5) AS status_5,
             max(status) FILTER (n = 6) AS status_6, max(status) FILTER (n = 7) AS status_7,
-            list_resize(list(label ORDER BY m) FILTER (m <= 5), 5, NULL) AS l
-        FROM moved GROUP BY uid, pay, amount, total
+            [max(label) FILTER (m = 1), max(label) FILTER (m = 2), max(label) FILTER (m = 3), max(label) FILTER (m = 4),
+                max(label) FILTER (m = 5)] AS l
+        FROM moved GROUP BY uid, pay, sender_title, product_merchant_id, total
     ), laddered AS (
         SELECT *, CASE WHEN l[3] = 'договор подписан' THEN list_concat([l[1], 'анкета заполнена'], l[3:5])
             WHEN l[3] = 'завершен' THEN list_concat(l[1:2], ['договор подписан', 'завершен', l[4]]) ELSE l END AS r FROM wide
     )
-    SELECT w.uid, pay AS pay_title, sender_title, product_merchant_id, total,
+    SELECT uid, pay AS pay_title, sender_title, product_merchant_id, total,
         CASE WHEN contains(concat_ws(',', status_1, status_2, status_3, status_4, status_5, status_6, status_7), 'cancel') THEN reason END
             AS cancelled_reason,
         strftime(first_day, '%Y-%m-%d') AS updated_on, status_1, status_2, status_3, status_4, status_5, status_6, status_7,
-        CASE WHEN size = 1 OR list_contains(['cancelled', 'cancelledbytimeout', 'cancelledbyclient'], status_2) THEN 1 END AS exclude_approve,
+        CASE WHEN second IS NULL OR list_contains(['cancelled', 'cancelledbytimeout', 'cancelledbyclient'], status_2) THEN 1 END AS exclude_approve,
         r[1] AS status_1_ru, r[2] AS status_2_ru, r[3] AS status_3_ru, r[4] AS status_4_ru, r[5] AS status_5_ru
-    FROM laddered w JOIN lines s ON s.uid = w.uid AND s.line_total = w.amount
+    FROM laddered
     """,
 )
 def _(t: Tables):
@@ -466,30 +474,29 @@ def _(t: Tables):
     "mart_passed_orders",
     f"""
     WITH {WHEREABOUTS}, {LATEST}, chosen AS (SELECT * FROM latest WHERE pay_title <> 'Оплата онлайн'), {NUMBERED}, gaps AS (
-        SELECT uid, pay, min(n) AS gap FROM numbered JOIN heads USING (uid, pay)
-        WHERE n BETWEEN 2 AND CASE opened WHEN 'pending_approve' THEN 4 ELSE 5 END AND n < size AND contains(status, 'cancel')
-        GROUP BY uid, pay
+        SELECT k, min(n) AS gap FROM resumed JOIN heads USING (k)
+        WHERE n <= CASE opened WHEN 'pending_approve' THEN 4 ELSE 5 END GROUP BY k
     ), moved AS (
-        SELECT n.uid, n.pay, n.status, n.progress, n.n - cast(coalesce(n.n > g.gap, false) AS INT) + cast(h.opened = 'pending_approve' AS INT) AS m,
+        SELECT n.k, n.status, n.progress, n.n - cast(coalesce(n.n > g.gap, false) AS INT) + cast(h.opened = 'pending_approve' AS INT) AS m,
             n.n = n.size AS is_last
-        FROM numbered n JOIN heads h USING (uid, pay) LEFT JOIN gaps g USING (uid, pay) WHERE n.n IS DISTINCT FROM g.gap
+        FROM numbered n JOIN heads h USING (k) LEFT JOIN gaps g USING (k) WHERE n.n IS DISTINCT FROM g.gap
     ), grouped AS (
-        SELECT uid, pay, amount, total, max(reason) AS reason,
+        SELECT k, uid, pay, sender_title, product_merchant_id, total, max(reason) AS reason,
             max(day) FILTER (stage = 'создано') AS created, max(day) FILTER (stage = 'оформлено') AS received,
             max(day) FILTER (stage = 'принято') AS accepted, max(day) FILTER (stage = 'завершено') AS completed,
             max(day) FILTER (stage = 'отменено') AS cancelled
-        FROM numbered GROUP BY uid, pay, amount, total
+        FROM numbered GROUP BY k, uid, pay, sender_title, product_merchant_id, total
     ), labelled AS (
-        SELECT m.uid, m.pay, m.m, m.status,
+        SELECT m.k, m.m, m.status,
             coalesce(m.progress, CASE WHEN is_last THEN g.reason END) AS label
-        FROM moved m JOIN grouped g USING (uid, pay)
+        FROM moved m JOIN grouped g USING (k)
     ), slots AS (
-        SELECT uid, pay, max(status) FILTER (m = 2) AS s2, max(status) FILTER (m = 3) AS s3, max(status) FILTER (m = 4) AS s4,
+        SELECT k, max(status) FILTER (m = 2) AS s2, max(status) FILTER (m = 3) AS s3, max(status) FILTER (m = 4) AS s4,
             max(status) FILTER (m = 5) AS s5, max(label) FILTER (m = 2) AS l2, max(label) FILTER (m = 3) AS l3, max(label) FILTER (m = 4) AS l4,
             string_agg(label, ',') FILTER (m BETWEEN 2 AND 5) AS seen
-        FROM labelled GROUP BY uid, pay
+        FROM labelled GROUP BY k
     ), filled AS (
-        SELECT g.uid, g.pay, g.amount, g.total, s2, s3, s4, s5, completed,
+        SELECT g.uid, g.pay, g.sender_title, g.product_merchant_id, g.total, s2, s3, s4, s5, completed,
             CASE WHEN regexp_matches(coalesce(seen, ''), 'отменено|отказ|общие ошибки|активная заявка') THEN g.reason END AS reason,
             CASE WHEN regexp_matches(coalesce(seen, ''), 'отменено|отказ|общие ошибки|активная заявка') THEN cancelled END AS cancelled,
             CASE WHEN received IS NULL AND accepted IS NOT NULL THEN accepted
@@ -497,7 +504,7 @@ def _(t: Tables):
                 WHEN accepted IS NULL THEN coalesce(completed, received) ELSE received END AS received,
             coalesce(accepted, completed) AS accepted,
             CASE WHEN l2 = 'принято' THEN [l2, l3] WHEN l3 = 'завершено' THEN ['принято', l3] ELSE [l3, l4] END AS l
-        FROM grouped g JOIN heads USING (uid, pay) JOIN slots USING (uid, pay)
+        FROM grouped g JOIN heads USING (k) JOIN slots USING (k)
         WHERE opened IN ('new', 'pending_approve')
     ), ended AS (
         SELECT *, CASE WHEN cancelled IS NULL THEN DATE '2024-01-31' END AS open_end FROM filled WHERE received IS NOT NULL
@@ -514,7 +521,7 @@ def _(t: Tables):
         CASE WHEN s4 = 'returned' OR s5 = 'returned' THEN 'возвращен' END AS state_3,
         cast(date_diff('day', received, coalesce(accepted, open_end)) AS INT) AS accept_days,
         cast(date_diff('day', coalesce(accepted, open_end), coalesce(completed, open_end)) AS INT) AS complete_days
-    FROM ended e JOIN lines s ON s.uid = e.uid AND s.line_total = e.amount
+    FROM ended e
     """,
 )
 def _(t: Tables):
@@ -793,10 +800,10 @@ DETAILS = """
 STATEMENT = """
     sales AS (
         SELECT * FROM invoiced WHERE bank_trans_code = 'EXPRESS' AND legal_name <> 'LLC 5' AND {0}
-        QUALIFY row_number() OVER (PARTITION BY uid ORDER BY invoice_id, item_id, merch_id, bank_trans_id, item_price, item_qnt) = 1
+        QUALIFY row_number() OVER (PARTITION BY {2} ORDER BY invoice_id, item_id, merch_id, bank_trans_id, item_price, item_qnt) = 1
     ), per_order AS (
         SELECT * FROM invoiced
-        QUALIFY row_number() OVER (PARTITION BY uid ORDER BY invoice_id, item_id, merch_id, bank_trans_id, item_price, item_qnt) = 1
+        QUALIFY row_number() OVER (PARTITION BY {2} ORDER BY invoice_id, item_id, merch_id, bank_trans_id, item_price, item_qnt) = 1
     ), best AS (SELECT merchant_id, product, max(rate) AS rate FROM rates GROUP BY ALL), statement AS (
         SELECT s.created_on AS dtime, NULL AS order_id, NULL AS commersant, NULL AS filial, NULL AS terminal_id, NULL AS auth_code,
             NULL AS card_num, cast(s.item_price AS DOUBLE) AS tran_amount, 0.0 AS comm_bank, cast(s.item_price AS DOUBLE) AS total_amount,
@@ -809,7 +816,7 @@ STATEMENT = """
         LEFT JOIN rates r ON r.merchant_id = s.merch_id AND r.product = s.pay_title
             AND r.cat_id = coalesce(regexp_extract(n.categories_array, '[^{{}},]+'), 'root')
         UNION ALL
-        SELECT b.dtime, b.order_id, b.commersant, b.filial, b.terminal_id, b.auth_code, b.card_num, b.tran_amount, b.comm_bank,
+        SELECT DISTINCT b.dtime, b.order_id, b.commersant, b.filial, b.terminal_id, b.auth_code, b.card_num, b.tran_amount, b.comm_bank,
             b.total_amount, b.currency, b.ret_account, b.emit_card, s.invoice_id, s.order_id, NULL, s.item_id, s.item_name,
             s.item_price + coalesce(cast(s.common_discount_size AS DOUBLE), 0), s.item_qnt, s.item_qnt, s.legal_name,
             s.merchant_iban, s.merchant_bik, s.merchant_bin, s.bank_trans_id, s.bank_status, s.status, s.promocode,
@@ -822,19 +829,45 @@ STATEMENT = """
 """
 
 
-@query(
-    "mart_statement",
-    f"WITH {DETAILS}, "
-    + STATEMENT.format(
-        "cast(created_on AS DATE) = DATE '2024-01-17' - 1", "cast(booked AS DATE) = DATE '2024-01-17'"
-    )
-    + """
+STATEMENT_COLUMNS = """
     SELECT strftime(dtime, '%Y-%m-%d %H:%M:%S') AS dtime, cast(order_id AS VARCHAR) AS order_id, commersant, filial, terminal_id,
         auth_code, card_num, tran_amount, cast(comm_bank AS DOUBLE) AS comm_bank, total_amount, currency, ret_account, emit_card,
         invoice_id, orders, invoice_type, item_id, item_name, item_price, item_quantity, items_count, legal_name, merchant_iban,
         merchant_bik, merchant_bin, operation_id, bank_status, status, promocode, common_discount_size, pay_types, pay_title, comm_comp
     FROM statement
-    """,
+"""
+
+
+@query(
+    "mart_statement",
+    f"WITH {DETAILS}, "
+    + STATEMENT.format(
+        "cast(created_on AS DATE) = DATE '2024-01-17' - 1", "cast(booked AS DATE) = DATE '2024-01-17'", "order_id"
+    )
+    + STATEMENT_COLUMNS,
+)
+def _(t: Tables):
+    return accounting.bank_statement(
+        t.invoices,
+        t.bank,
+        t.merchants,
+        t.requisites,
+        t.order_history,
+        t.nomenclature,
+        t.tariffs,
+        market(),
+        date(2024, 1, 17),
+        TIE,
+    )
+
+
+@query(
+    "mart_statement_compat",
+    f"WITH {DETAILS}, "
+    + STATEMENT.format(
+        "cast(created_on AS DATE) = DATE '2024-01-17' - 1", "cast(booked AS DATE) = DATE '2024-01-17'", "uid"
+    )
+    + STATEMENT_COLUMNS,
 )
 def _(t: Tables):
     return accounting.bank_statement(
@@ -848,13 +881,14 @@ def _(t: Tables):
         market(),
         date(2024, 1, 17),
         TIE,
+        compat=True,
     )
 
 
 @query(
     "mart_ledger",
     f"WITH {DETAILS}, "
-    + STATEMENT.format("state = 'ACTIVE' AND created_on >= DATE '2024-01-10'", "booked >= DATE '2024-01-10'")
+    + STATEMENT.format("state = 'ACTIVE' AND created_on >= DATE '2024-01-10'", "booked >= DATE '2024-01-10'", "order_id")
     + """
     SELECT strftime(dtime, '%Y-%m-%d %H:%M:%S') AS dtime, order_id AS orderid, commersant, filial, terminal_id, auth_code, card_num,
         tran_amount AS amount, cast(comm_bank AS DOUBLE) AS bank_commission, item_price AS paid_amount, currency, ret_account,

@@ -45,7 +45,7 @@ SEVEN = ", ".join(f"max(status) FILTER (m = {k}) AS s{k}" for k in range(1, 6))
 def _sequences(t: Tables):
     history = t.order_history.select("uid", "status", "updated_on", "row_id")
     order = [F.col("updated_on").asc(), F.col("row_id").asc()]
-    return timeline.status_sequence(history, ["uid"], order, "status")
+    return timeline.status_sequence(history, ["uid"], order, "status", timeline.SLOTS)
 
 
 @query(

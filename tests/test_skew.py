@@ -99,7 +99,7 @@ def test_latest_completed_keeps_ties_and_open_rows(spark, bag):
 
 def test_sequences_are_bounded(hot, rows):
     order = [F.col("minute").asc(), F.col("event_id").asc()]
-    sequences = status_sequence(hot, ["user_id"], order, "status")
+    sequences = status_sequence(hot, ["user_id"], order, "status", 7)
     assert max(len(r[1]) for r in rows(sequences)) == 7
     window = Window.partitionBy("user_id").orderBy(*order)
     first = hot.withColumn("n", F.row_number().over(window)).where("n = 1").select("user_id", "status")

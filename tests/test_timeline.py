@@ -133,6 +133,6 @@ def test_open_stages_end_at_as_of_unless_cancelled(spark, rows):
 
 def test_statuses_past_the_seventh_are_ignored(spark):
     df = spark.createDataFrame([("o", i, f"s{i}") for i in range(1, 11)], "k string, t int, s string")
-    found = timeline.status_sequence(df, ["k"], [F.col("t").asc()], "s").first()
+    found = timeline.status_sequence(df, ["k"], [F.col("t").asc()], "s", 7).first()
     assert found["statuses"] == [f"s{i}" for i in range(1, 8)]
     assert fv.SUBMITTED_STATUSES[0] == "new"
