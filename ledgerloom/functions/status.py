@@ -124,13 +124,19 @@ def progress_description(
     s2: Column, s3: Column, s4: Column, label3: Column, reason: Column, pay: Column, lender: Lender
 ) -> Column:
     """Where an order that was taken up stands now."""
-    places = {2: s2, 3: s3}
     waiting = F.when(pay == lender.title, fv.APPROVED).when(pay != lender.title, fv.AT_MERCHANT)
     return multi_col_rules(
         [
             (is_cancel(s3) & (label3 != fv.ACCEPTED), reason),
             (s3.isin(*fv.POST_STATUSES) & (s4 == "delivered"), fv.POST_WITH_COURIER),
-            *[(places[place].isin(*statuses), text) for text, place, statuses in fv.WHEREABOUTS],
+            (s3 == "courier_delivery", fv.POST_WITH_COURIER),
+            (s3 == "awaiting_parcel_ready", fv.POST_WAITS_PARCEL),
+            (s3.isin("awaiting_courier_pickup", "sync_with_delivery"), fv.POST_WAITS_COURIER),
+            ((s2 == "pending_pickup") | s3.isin("pending_pickup", "taken"), fv.AT_PICKUP),
+            ((s2 == "on_delivery") | s3.isin("on_delivery", "delivered"), fv.ON_DELIVERY),
+            (s2 == "awaiting_loan_approve", fv.AT_SIGNING),
+            (s2 == "approved_not_filled", fv.WAITS_FORM),
+            (s2 == "filled_not_approved", fv.AT_MERCHANT),
             (s2 == "pending_approve", waiting),
         ]
     )

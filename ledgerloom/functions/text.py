@@ -66,7 +66,7 @@ def normalise_phone(col: Column) -> Column:
     digits = phone_digits(col)
     size = F.length(digits)
     return (
-        F.when(digits.startswith("8"), F.concat(F.lit("7"), F.substring(digits, 2, 100)))
+        F.when(digits.startswith("8"), F.concat(F.lit("7"), F.substring(digits, F.lit(2), F.length(digits))))
         .when(size == 10, F.concat(F.lit("7"), digits))
         .when(size > 11, F.right(digits, F.lit(11)))
         .otherwise(digits)

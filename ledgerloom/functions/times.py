@@ -90,11 +90,6 @@ def local_time(ts: Column, zone: str = LOCAL_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), ts.cast("timestamp_ntz"))
 
 
-def from_millis(col: Column) -> Column:
-    """Epoch milliseconds to a timestamp; NULL stays NULL."""
-    return F.timestamp_millis(col.cast("long"))
-
-
 def mixed_timestamp(col: Column) -> Column:
     """Text that holds either epoch milliseconds or an ISO date and time."""
     return F.coalesce(F.timestamp_millis(col.try_cast("long")), col.try_cast("timestamp"))

@@ -27,9 +27,18 @@ def latest_per_key(
 
 
 def rows_at_latest(df: DataFrame, keys: Sequence[str], moment: Column) -> DataFrame:
-    """All rows of each key that share its greatest ``moment`` (ties kept)."""
-    window = Window.partitionBy(*keys).orderBy(moment.desc())
-    return df.withColumn("_rank", F.rank().over(window)).where("_rank = 1").drop("_rank")
+    """All rows of each key that share its greatest ``moment`` (ties kept).
+
+    The greatest moment is one row per key and task before the shuffle; the join
+    back is one that Spark splits, so a key's last day need not fit a task. A
+    key without any moment keeps all its rows.
+    """
+    dated = df.withColumn("_moment", moment)
+    last = dated.groupBy(*[F.col(k).alias(f"_l_{k}") for k in keys]).agg(F.max("_moment").alias("_last"))
+    same = F.col("_moment").eqNullSafe(F.col("_last"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
+    return dated.join(last, same).select(*df.columns)
 
 
 def sequence_number(

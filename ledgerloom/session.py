@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -45,17 +48,20 @@ def build_session(
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent, the session's checkpoint folder is used. Only
-    a local-mode session without either (tests) gets a temporary folder of this
-    machine; on a cluster one of them is required, because executors must all
-    see the files.
+    Where the setting is absent, the session's checkpoint folder is used. A
+    session whose driver and executors are one process (master ``local`` or
+    ``local[n]``) may have neither: it gets a folder of its own, which goes when
+    the process ends. Anywhere else one of them is required, because executors
+    must all see the files.
     """
     context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        own = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(own)
         base = context.getCheckpointDir()
     return base.rstrip("/")
 

@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
-def write_full_refresh(df: DataFrame, target: str, fmt: str = "parquet") -> None:
-    """Replace the whole target."""
-    df.write.mode("overwrite").format(fmt).save(target)
+def write_full_refresh(df: DataFrame, target: str, fmt: str = "parquet", **options: str) -> None:
+    """Replace the whole target.
+
+    Rows go to a fresh folder beside the target, which takes its place when the
+    write is complete. A write that fails leaves the old target as it is.
+    """
+    fresh = f"{target.rstrip('/')}.new-{uuid.uuid4().hex}"
+    try:
+        df.write.format(fmt).options(**options).save(fresh)
+    except Exception:
+        _switch(df.sparkSession, fresh, None)
+        raise
+    _switch(df.sparkSession, target, fresh)
+
+
+def _switch(spark: SparkSession, target: str, fresh: str | None) -> None:
+    """Put the folder ``fresh`` in the place of ``target`` (None: remove the target)."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(target).getFileSystem(conf)
+    old = path(f"{target.rstrip('/')}.old-{uuid.uuid4().hex}")
+    had = files.exists(path(target))
+    if had:
+        files.rename(path(target), old)
+    if fresh is not None and not files.rename(path(fresh), path(target)):
+        raise OSError(f"cannot move {fresh} to {target}")
+    if had:
+        files.delete(old, True)
 
 
 def write_append(df: DataFrame, target: str, fmt: str = "parquet") -> None:
@@ -63,15 +89,27 @@ def write_fan_out(spark: SparkSession, df: DataFrame, targets: Sequence[str]) ->
 
 def copy_table(
     spark: SparkSession,
-    source: str,
-    target: str,
+    source: str | None,
+    target: str | None,
     source_format: str = "parquet",
     target_format: str = "parquet",
     columns: Sequence[str] | None = None,
+    source_options: Mapping[str, str] | None = None,
+    target_options: Mapping[str, str] | None = None,
 ) -> None:
-    """Copy a stored table elsewhere, in another format if wanted."""
-    df = spark.read.format(source_format).load(source)
-    write_full_refresh(df.select(*columns) if columns else df, target, target_format)
+    """Copy a stored table elsewhere, in another format if wanted.
+
+    A side without a path is what its options name: a database table, with
+    format ``jdbc`` and the options ``url``, ``dbtable`` and, for a read in
+    parallel, ``partitionColumn`` and its bounds.
+    """
+    df = spark.read.format(source_format).options(**(source_options or {})).load(source)
+    df = df.select(*columns) if columns else df
+    if target is None:
+        options = {"truncate": "true", **(target_options or {})}
+        df.write.format(target_format).mode("overwrite").options(**options).save()
+    else:
+        write_full_refresh(df, target, target_format, **(target_options or {}))
 
 
 def with_headers(df: DataFrame, headers: Sequence[str]) -> DataFrame:
@@ -81,9 +119,28 @@ def with_headers(df: DataFrame, headers: Sequence[str]) -> DataFrame:
     return df.toDF(*headers)
 
 
-def write_report(df: DataFrame, headers: Sequence[str], path: str) -> None:
-    """CSV with display headers, one file per partition of the result."""
-    with_headers(df, headers).write.mode("overwrite").option("header", True).csv(path)
+def write_report(
+    df: DataFrame, headers: Sequence[str], path: str, order: Sequence[str] = ()
+) -> None:
+    """CSV parts whose concatenation, by name, is the report: the display headers
+    as its first line, then the rows, ordered by the columns ``order``.
+
+    A range sort deals the rows to parts, so no task holds the whole report.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    keys = [names[df.columns.index(c)] for c in order]
+    with_headers(df, headers)
+    rows = df.toDF(*names).select(
+        F.lit(1).alias("_row"),
+        *[F.col(c).alias(f"_{c}") for c in keys],
+        *[F.col(c).cast("string") for c in names],
+    )
+    first = rows.sparkSession.createDataFrame([tuple(headers)], ", ".join(f"{c} string" for c in names))
+    kinds = dict(rows.dtypes)
+    empty = [F.lit(None).cast(kinds[f"_{c}"]).alias(f"_{c}") for c in keys]
+    titled = first.select(F.lit(0).alias("_row"), *empty, *names).unionByName(rows)
+    lines = titled.orderBy("_row", *[f"_{c}" for c in keys]).select(*names)
+    write_full_refresh(lines, path, "csv", escape='"')
 
 
 def alert_rows(df: DataFrame, parts: Mapping[str, Column | str], into: str = "message") -> DataFrame:

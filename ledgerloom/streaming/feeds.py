@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.plans.catalogue import publish_events
-from ledgerloom.session import shared_dir
 
 PUBLISH_LOG_SCHEMA = """
     event_dtime timestamp_ntz, merchant_id string,
@@ -24,16 +23,16 @@ def publish_event_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_available(
-    spark: SparkSession, events: DataFrame, target: str, checkpoint: str | None = None
+    events: DataFrame, target: str, checkpoint: str
 ) -> StreamingQuery:
     """Append everything that has arrived to ``target`` and stop.
 
-    ``checkpoint`` remembers which files were read and must be the same folder
-    in every run; by default it lies in the shared folder.
+    ``checkpoint`` remembers which files were read: a folder that executors share,
+    the same in every run and another for every pair of source and target.
     """
     return (
         events.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint or f"{shared_dir(spark)}/publish-log")
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)
     )

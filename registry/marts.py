@@ -621,9 +621,7 @@ SEGMENTS = """
 """
 
 
-@query(
-    "mart_purchases",
-    f"""
+PURCHASES = f"""
     WITH {SEGMENTS}, rows AS (
         SELECT DISTINCT uid, status || '/' || paid AS stat, pay_title, created_on, updated_on, user_city, user_name, user_mobile,
             user_address, user_flat_number, user_house_number, user_surname, delivery_price, promocode_name, promocode,
@@ -654,9 +652,11 @@ SEGMENTS = """
     FROM tagged t JOIN lines l ON l.uid = t.uid LEFT JOIN comments m ON m.uid = t.uid
     LEFT JOIN items i ON i.merchant_id = l.product_merchant_id AND i.sku_id = l.sku_id AND i.product_id = l.product_id
     LEFT JOIN loans o ON o.order_id = t.uid
-    """,
-)
-def _(t: Tables):
+"""
+
+
+@query("mart_purchases", PURCHASES)
+def _purchases(t: Tables):
     return orders.purchases_report(
         t.order_history,
         t.packages,
@@ -670,6 +670,19 @@ def _(t: Tables):
     )
 
 
+PURCHASE_COLUMNS = (
+    "uid stat pay_title created_on updated_on user_name user_surname user_mobile user_city user_address "
+    "user_house_number user_flat_number sender_title product_name total_price delivery_price ttt comment2 "
+    "cat1 cat2 cat3 cat4 iin status1 status2 promocode_name promocode is_promocode_applied common_discount_size"
+).split()
+PURCHASES_SHOWN = ", ".join(f'{c} AS "{h}"' for c, h in zip(PURCHASE_COLUMNS, fv.PURCHASES_HEADERS, strict=True))
+
+
+@query("purchases_report", f"SELECT {PURCHASES_SHOWN} FROM ({PURCHASES})")
+def _(t: Tables):
+    return with_headers(_purchases(t).select(*PURCHASE_COLUMNS), fv.PURCHASES_HEADERS)
+
+
 @query(
     "period_mismatch_alerts",
     """

@@ -115,7 +115,9 @@ def _(t: Tables):
     target = scratch_dir(t.spark, "report")
     headers = ["№ клиента", "ФИО клиента", "Сегмент"]
     sinks.write_report(t.customer.select("c_custkey", "c_name", "c_mktsegment"), headers, target)
-    return t.spark.read.option("header", True).csv(target)
+    names = ", ".join(f"`{h}` string" for h in headers)
+    back = t.spark.read.schema(names).option("escape", '"').csv(target)
+    return back.where(F.col(headers[0]) != headers[0])
 
 
 @query(

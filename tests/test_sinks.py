@@ -81,15 +81,38 @@ def test_database_writer_settings(append, mode):
     assert options["dbtable"] == "t" and options["truncate"] == "true" and options["user"] == "u"
 
 
-def test_report_headers(spark, tmp_path, bag):
-    target = str(tmp_path / "r")
-    sinks.write_report(spark.range(2).withColumn("x", F.lit('a,"b"')), ["№", "Имя"], target)
-    back = spark.read.option("header", True).option("escape", '"').csv(target)
-    assert back.columns == ["№", "Имя"]
+def test_report_is_one_ordered_text(spark, tmp_path):
+    target = tmp_path / "r"
+    df = spark.range(200).repartition(7).withColumn("x", F.lit('a,"b"'))
+    sinks.write_report(df, ["№", "Имя"], str(target), ["id"])
+    parts = sorted(p for p in target.iterdir() if p.name.startswith("part-"))
+    lines = "".join(p.read_text() for p in parts).splitlines()
+    assert lines == ["№,Имя"] + [f'{i},"a,""b"""' for i in range(200)]
     with pytest.raises(ValueError):
         sinks.with_headers(spark.range(1), ["a", "b"])
 
 
+def test_failed_refresh_keeps_the_old_target(spark, tmp_path, bag):
+    target = tmp_path / "t"
+    sinks.write_full_refresh(spark.range(3), str(target))
+    with pytest.raises(Exception, match="no good"):
+        sinks.write_full_refresh(spark.range(3).select(F.raise_error(F.lit("no good")).alias("id")), str(target))
+    assert bag(spark.read.parquet(str(target))) == [(0,), (1,), (2,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_copy_between_databases_settings():
+    """No database may be started here; only the reader and writer calls are checked."""
+    spark = MagicMock()
+    sinks.copy_table(
+        spark, None, None, "jdbc", "jdbc", ["a"], {"url": "jdbc:one", "dbtable": "s"}, {"url": "jdbc:two", "dbtable": "t"}
+    )
+    spark.read.format.assert_called_with("jdbc")
+    spark.read.format().options.assert_called_with(url="jdbc:one", dbtable="s")
+    df = spark.read.format().options().load().select()
+    df.write.format().mode().options.assert_called_with(truncate="true", url="jdbc:two", dbtable="t")
+
+
 def test_alert_text(spark):
     df = spark.createDataFrame([("o", None)], "a string, b int")
     alert = sinks.alert_rows(df, {"order": "a", "months": "b"}).first()
@@ -136,5 +159,5 @@ def test_publish_stream_reads_each_file_once(spark, tmp_path, bag):
     for part in (first, second):
         part.write.mode("append").parquet(landed)
         stream = publish_event_stream(spark, landed)
-        append_available(spark, stream, target, checkpoint).awaitTermination(60)
+        append_available(stream, target, checkpoint).awaitTermination(60)
     assert bag(spark.read.parquet(target)) == bag(publish_events(first.unionByName(second)))
