@@ -104,6 +104,35 @@ def test_several_matching_lines_keep_one_timeline(spark):
     assert found == [("shop", "m", *slots), ("shop2", "m2", *slots)]
 
 
+def repriced(spark, *rows):
+    """One order: (status, paid, price) in order of time; every price has a line."""
+    df = history(spark, *[status for status, _, _ in rows])
+    price = F.element_at(F.array(*[F.lit(p) for _, _, p in rows]), F.col("row_id") + 1)
+    paid = F.element_at(F.array(*[F.lit(p) for _, p, _ in rows]), F.col("row_id") + 1)
+    return df.withColumns({"common_price": price, "paid": paid})
+
+
+def lines_of(spark, *prices):
+    schema = "uid string, product_merchant_id string, sender_title string, sku_price int, sku_amount int"
+    return spark.createDataFrame([("1", "m", "s", p, 1) for p in prices], schema)
+
+
+def test_statuses_are_numbered_over_all_prices(spark):
+    given = repriced(spark, ("new", False, 100), ("on_delivery", True, 90), ("delivered", True, 100))
+    funnel = orders.credit_orders(given, lines_of(spark, 100, 90), Market(), "row_id").collect()
+    assert [(r.total, r.status_1, r.status_2, r.status_3, r.exclude_approve) for r in funnel] == [
+        (100, "new", None, "delivered", 1)
+    ]
+
+
+def test_a_price_without_the_first_status_goes(spark):
+    given = repriced(spark, ("new", False, 100), ("new", True, 90))
+    market, lines = Market(), lines_of(spark, 100, 90)
+    assert [r.total for r in orders.credit_orders(given, lines, market, "row_id").collect()] == [100]
+    both = orders.passed_orders(given, lines, market, "2024-01-31", "row_id").collect()
+    assert [r.total for r in both] in ([], [100])
+
+
 def test_passed_order_that_was_cancelled(spark):
     mart = orders.passed_orders(
         history(spark, "new", "pending_approve", "cancelledbyclient"), packages(spark), Market(), "2024-01-31", "row_id"

@@ -5,13 +5,12 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from conftest import SF_DIR
-
-QUERIES = spark_entry.queries()
-ORACLES = spark_entry.oracle_sql()
+from registry.core import ORACLES, QUERIES
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

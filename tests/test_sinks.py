@@ -146,9 +146,14 @@ def test_scratch_lies_in_the_configured_folder(spark):
     assert scratch_dir(session, "x") != scratch_dir(session, "x")
 
 
-def test_scratch_without_setting_stays_in_one_folder(spark):
-    assert shared_dir(spark) == shared_dir(spark)
-    assert scratch_dir(spark, "x").startswith(shared_dir(spark))
+def test_scratch_needs_the_setting_on_a_cluster():
+    for master in ("spark://host:1", "local-cluster[2,1,1024]", "yarn"):
+        session = MagicMock()
+        session.sparkContext.master = master
+        session.conf.get.return_value = None
+        session.sparkContext.getCheckpointDir.return_value = None
+        with pytest.raises(ValueError):
+            shared_dir(session)
 
 
 def test_publish_stream_reads_each_file_once(spark, tmp_path, bag):

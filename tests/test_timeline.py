@@ -136,3 +136,10 @@ def test_statuses_past_the_seventh_are_ignored(spark):
     found = timeline.status_sequence(df, ["k"], [F.col("t").asc()], "s", 7).first()
     assert found["statuses"] == [f"s{i}" for i in range(1, 8)]
     assert fv.SUBMITTED_STATUSES[0] == "new"
+
+
+def test_long_timelines_keep_all_statuses(spark):
+    statuses = ["new", "cancelled"] + [f"s{i}" for i in range(38)]
+    df = spark.createDataFrame([(statuses,)], "statuses array<string>")
+    closed = df.select(timeline.drop_first_resumed_cancel(F.col("statuses")).alias("c")).first()["c"]
+    assert closed == ["new"] + statuses[2:]
