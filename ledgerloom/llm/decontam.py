@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.words import Words, slices, split_words, widened, window_hashes, word_hashes
@@ -44,6 +45,23 @@ def _unit_hashes() -> np.ndarray:
     return np.sort(word_hashes(split_words(pa.array([" ".join(UNITS)]))))
 
 
+def _trimmed(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of words without outer punctuation (one character stays)."""
+    start, end = words.start.copy(), words.end.copy()
+    for _ in range(8):
+        trim = (end - start > 1) & _PUNCTUATION[words.data[start]]
+        start[trim] += 1
+        trim = (end - start > 1) & _PUNCTUATION[words.data[end - 1]]
+        end[trim] -= 1
+    return start, end
+
+
+def _capital(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether a capital of Latin-1 stands at these bytes."""
+    first, then = data[at], data[at + 1]
+    return ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (then >= 0x80) & (then <= 0x9E) & (then != 0x97))
+
+
 def canonical(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of texts: template hash, value hash, literal flag, and where each text begins.
 
@@ -51,25 +69,17 @@ def canonical(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     unit, a capitalised word within a sentence a name (neighbouring names are one
     token; words in capitals are literal).
     """
-    words = split_words(column)
-    data, start, end = words.data, words.start.copy(), words.end.copy()
-    for _ in range(8):
-        trim = (end - start > 1) & _PUNCTUATION[data[start]]
-        start[trim] += 1
-        trim = (end - start > 1) & _PUNCTUATION[data[end - 1]]
-        end[trim] -= 1
-    low = data.copy()
-    capital = (low >= 65) & (low <= 90)
-    low[capital] += 32
-    value = word_hashes(Words(low, start, end, words.first))
+    words, low = split_words(column), split_words(pc.utf8_lower(column))
+    data, (start, end) = words.data, _trimmed(words)
+    # Lower-casing adds and removes no white space, so words keep their numbers.
+    value = word_hashes(Words(low.data, *_trimmed(low), low.first))
     n = len(start)
     number = (data[start] >= 48) & (data[start] <= 57)
     fresh = np.zeros(n, bool)
     fresh[words.first[:-1][words.first[:-1] < n]] = True
     fresh[1:] |= _STOP[data[words.end[:-1] - 1]]
-    upper = capital[start] | ((data[start] == 0xC3) & (data[start + 1] >= 0x80) & (data[start + 1] <= 0x9E))
-    second = start + 1
-    name = upper & ~fresh & (end - start > 1) & ~capital[second]
+    second = start + np.where(data[start] == 0xC3, 2, 1)
+    name = _capital(data, start) & ~fresh & (end > second) & ~_capital(data, second)
     unit = np.zeros(n, bool)
     unit[1:] = number[:-1] & np.isin(value[1:], _unit_hashes())
     unit[words.first[:-1][words.first[:-1] < n]] = False

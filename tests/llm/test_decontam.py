@@ -3,6 +3,7 @@
 import re
 
 from conftest import SF_DIR
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontam
 
@@ -21,13 +22,13 @@ def plain_tokens(text):
                 word = word[1:]
             if len(word.encode()) > 1 and re.match(punctuation, word[-1]) and word[-1] != "%":
                 word = word[:-1]
-        low = re.sub("[A-Z]", lambda m: m[0].lower(), word)
+        low = word.lower()
         kind = "word"
         if re.match("[0-9]", word):
             kind = "number"
         elif before == "number" and low in decontam.UNITS:
             kind = "unit"
-        elif re.match("[A-ZÀ-Þ]", word) and not fresh and len(word.encode()) > 1 and not re.match(".[A-Z]", word):
+        elif re.match("[A-ZÀ-ÖØ-Þ]", word) and not fresh and len(word) > 1 and not re.match(".[A-ZÀ-ÖØ-Þ]", word):
             kind = "name"
         if not (kind == "name" and before == "name"):
             out.append((low if kind == "word" else "<" + kind, low))
@@ -84,6 +85,8 @@ def test_reworded_and_inconsistent(spark):
     items = spark.createDataFrame([(9, ITEM), (10, None), (11, ""), (None, ITEM), (12, "two words")], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r.reworded for r in decontam.contaminated(docs, items).collect()}
     assert got.pop((5, 9), None) in (None, False)
+    shout = spark.createDataFrame([(1, "AND. " + ITEM.upper() + "!! ÉA")], "doc_id long, text string")
+    assert decontam.contaminated(shout, items.withColumn("text", F.lower("text"))).count() == 1
     assert got == {(1, 9): False, (2, 9): True, (8, 9): True}
     assert decontam.contaminated(docs.where("false"), items).count() == 0
     assert decontam.contaminated(docs, items.where("false")).count() == 0
