@@ -70,9 +70,9 @@ def hash_thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
     """Per source: ``copies`` that every document gives and the hash ``threshold``
     below which a document gives one more.
 
-    ``sized`` has source, size and hash. Of the words below the threshold, the
-    sum is at most what the copies leave of the target; the next hash value
-    would exceed it.
+    ``sized`` has source, size and hash. The words below the threshold come as
+    near as whole hash values can to what the copies leave of the target: the
+    value in which it runs out is taken if that misses by less (at a tie not).
     """
     spark = sized.sparkSession
     copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
@@ -102,10 +102,13 @@ def hash_thresholds(sized: DataFrame, targets: DataFrame) -> DataFrame:
         edge = (
             running.where(F.col("upto") > F.col("budget"))
             .groupBy(F.col("source").alias("s"))
-            .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("edge"))
+            .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"), "upto")).alias("edge"))
         )
         beyond = (1 << STEP_BITS) if level == 0 else 0
         bucket = F.coalesce(F.col("edge.bucket"), F.lit(beyond))
+        if not shift:
+            nearer = F.col("edge.upto") - F.col("budget") < F.col("budget") - F.col("edge.before")
+            bucket = bucket + F.coalesce(nearer, F.lit(False)).cast("long")
         state = state.join(edge, F.col("source").eqNullSafe(F.col("s")), "left").select(
             "source", "source_size", "target", "copies",
             (F.col("budget") - F.coalesce(F.col("edge.before"), F.lit(0))).alias("budget"),
@@ -154,10 +157,10 @@ def mixed_documents(
     Returns one row per row of ``docs``: the id, ``source``, ``size`` (words;
     null text: 0), ``source_size`` and ``target`` of its source, ``taken`` (its
     size times the times it is taken, ``limit`` at most). Taken words of a
-    source fall short of its target by less than the documents of one hash
-    value. Repeated ids are taken together. A null id hashes as the empty text,
-    a null source is a source, an empty text has size 0 and is neither here nor
-    there, an empty table gives none. Other columns are ignored.
+    source miss its target by half the documents of one hash value at most.
+    Repeated ids are taken together. A null id hashes as the empty text, a null
+    source is a source, an empty text has size 0 and is neither here nor there,
+    an empty table gives none. Other columns are ignored.
     """
     spark = docs.sparkSession
     where = scratch_dir(spark, "mix-sizes")

@@ -272,10 +272,13 @@ def op7_minmax_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
             sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE UNBOUNDED PRECEDING) AS upto
         FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source
     ), edge AS (
-        SELECT *, min(CASE WHEN upto > budget THEN h END) OVER (PARTITION BY source) AS threshold FROM run
+        SELECT *, min(CASE WHEN upto > budget THEN h END) OVER s AS threshold, min(CASE WHEN upto > budget THEN upto END) OVER s AS above,
+            max(CASE WHEN upto <= budget THEN upto ELSE 0 END) OVER s AS below
+        FROM run WINDOW s AS (PARTITION BY source)
     )
     SELECT doc_id, source, size, source_size, cast(target AS DOUBLE) AS target,
-        cast(size * (copies + CASE WHEN threshold IS NULL OR h < threshold THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        cast(size * (copies + CASE WHEN threshold IS NULL OR h < threshold OR (h = threshold AND above - budget < budget - below)
+            THEN 1 ELSE 0 END) AS BIGINT) AS taken
     FROM edge
     """,
 )
