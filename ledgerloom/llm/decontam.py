@@ -48,11 +48,12 @@ def _unit_hashes() -> np.ndarray:
 def _trimmed(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of words without outer punctuation (one character stays)."""
     start, end = words.start.copy(), words.end.copy()
-    for _ in range(8):
-        trim = (end - start > 1) & _PUNCTUATION[words.data[start]]
-        start[trim] += 1
-        trim = (end - start > 1) & _PUNCTUATION[words.data[end - 1]]
-        end[trim] -= 1
+    rows = np.arange(len(start))
+    while len(rows := rows[(end[rows] - start[rows] > 1) & _PUNCTUATION[words.data[start[rows]]]]):
+        start[rows] += 1
+    rows = np.arange(len(start))
+    while len(rows := rows[(end[rows] - start[rows] > 1) & _PUNCTUATION[words.data[end[rows] - 1]]]):
+        end[rows] -= 1
     return start, end
 
 
