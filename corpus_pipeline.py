@@ -25,12 +25,14 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the least id.
 
-    Of repeated rows of an id one stays; rows with a null id all stay.
+    Of repeated rows of an id one stays; rows with a null id all stay. Repeated
+    rows are reduced before they are shuffled, and null ids are never shuffled.
     """
     gone = minmax.near_duplicates(docs, size=5, percent=80).where("NOT kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return left.withColumn("first_", first).where("doc_id IS NULL OR first_ = 1").select(*docs.columns)
+    order = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*[F.col(c) for c in docs.columns])))
+    named = docs.where("doc_id IS NOT NULL").withColumn("place_in_id_", F.row_number().over(order)).where("place_in_id_ = 1")
+    left = named.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return left.union(docs.where("doc_id IS NULL"))
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,10 +47,12 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item, neither as it is nor with other values."""
+    """Documents that hold no benchmark item, neither as it is nor with other values
+    (rows with a null id all stay)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaks = decontam.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    left = docs.where("doc_id IS NOT NULL").join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    return left.union(docs.where("doc_id IS NULL"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

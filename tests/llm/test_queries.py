@@ -63,6 +63,13 @@ def test_odd_tables(spark, folders, name, kind):
         assert len(rows) == (len(TABLES[table][0]) if kind == "odd" else 0)
 
 
+def test_dedup_keeps_null_ids_and_one_row_of_an_id(spark):
+    rows = [(None, "a b c d e f", "x"), (None, "a b c d e f", "x"), (None, None, None), (1, "q r s t u v", "z"), (1, "q r s t u v", "y"), (2, "q r s t u v", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, first_ string")
+    left = sorted((r.doc_id or 0, r.text or "", r.first_ or "") for r in corpus_pipeline.deduplicated(spark, docs, "").collect())
+    assert left == [(0, "", ""), (0, "a b c d e f", "x"), (0, "a b c d e f", "x"), (1, "q r s t u v", "y")]
+
+
 @pytest.mark.parametrize("kind", ["odd", "empty"])
 def test_pipeline_on_odd_tables(spark, folders, kind):
     docs = spark.read.parquet(f"{folders[kind]}/documents.parquet")
