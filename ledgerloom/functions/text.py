@@ -31,10 +31,13 @@ def first_part(col: Column, sep: str = ",") -> Column:
     return F.split_part(col, F.lit(sep), F.lit(1))
 
 
+#: All kinds of whitespace.
+WHITESPACE = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]+"
+
+
 def strip_whitespace(col: Column) -> Column:
     """Remove all kinds of whitespace at both ends."""
-    space = r"[\s\p{Z}\x{1c}-\x{1f}\x{85}]+"
-    return F.regexp_replace(F.regexp_replace(col, f"^{space}", ""), f"{space}$", "")
+    return F.regexp_replace(F.regexp_replace(col, f"^{WHITESPACE}", ""), f"{WHITESPACE}$", "")
 
 
 def initcap_words(col: Column) -> Column:

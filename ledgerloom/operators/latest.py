@@ -52,9 +52,11 @@ def sequence_number(
 
     Without ``split_by`` a key's rows meet in one task, which suits keys of
     bounded size. For keys that may be huge, ``split_by`` must be a coarse
-    value that never decreases along ``order`` (the day of a timestamp): rows
+    value that never decreases along ``order`` (the hour of a timestamp): rows
     are numbered within (key, slice) and shifted by the size of the key's
-    earlier slices, so no task holds a whole key.
+    earlier slices, so no task holds a whole key. Choose it so fine that the
+    rows of the largest key fit a task per slice; the slices of one key, a row
+    each, are summed up in one task.
     """
     if split_by is None:
         return df.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))

@@ -18,6 +18,7 @@ from ledgerloom.functions.nested import (
     flatten_strict,
 )
 from ledgerloom.functions.status import Lender
+from ledgerloom.functions.text import WHITESPACE
 from ledgerloom.sources import scan_wide_rows
 
 
@@ -287,7 +288,8 @@ LOANS = FlattenSpec(
 
 
 def _stripped(path: str) -> str:
-    space = r"[\\s\\p{Z}\\x{1c}-\\x{1f}\\x{85}]+"
+    """SQL text of ``strip_whitespace``, as a specification holds text."""
+    space = WHITESPACE.replace("\\", "\\\\")
     return f"regexp_replace({path}, '^{space}|{space}$', '')"
 
 

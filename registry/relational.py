@@ -381,7 +381,7 @@ def _(t: Tables):
         ["user_id"],
         [F.col("ts").asc(), F.col("event_id").asc()],
         "num",
-        split_by=F.to_date("ts"),
+        split_by=F.date_trunc("hour", "ts"),
     )
     return numbered.select("event_id", "user_id", "num")
 

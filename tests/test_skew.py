@@ -35,6 +35,25 @@ def test_sequence_number_in_slices(hot, bag):
     assert bag(sliced) == bag(plain)
 
 
+def test_one_key_on_one_day_is_numbered_by_several_tasks(spark):
+    """Slices are hours, so a user's day spreads over the tasks of the exchange."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        day = spark.range(0, 24 * 60, 1, 4).select(
+            F.col("id").alias("event_id"), F.lit(7).alias("user_id"), F.timestamp_seconds(F.col("id") * 60).alias("ts")
+        )
+        order = [F.col("ts").asc(), F.col("event_id").asc()]
+        numbered = sequence_number(day, ["user_id"], order, "n", split_by=F.date_trunc("hour", "ts"))
+        rows = numbered.withColumn("task", F.spark_partition_id()).collect()
+        assert all(r.n == r.event_id + 1 for r in rows)
+        assert len({r.task for r in rows}) >= 6
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
 def test_latest_per_key_gives_one_row_per_key(hot, bag):
     order = [F.col("minute").desc(), F.col("event_id").desc()]
     latest = latest_per_key(hot, ["user_id"], order)
