@@ -144,12 +144,12 @@ def _items(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataF
     return picked.mapInArrow(cut, schema)
 
 
-def _bitmap(items: DataFrame) -> np.ndarray:
-    """One bit per hash value modulo the bitmap's size; at most 2 ** 17 rows reach the driver."""
-    bit = F.col("hash").bitwiseAND(F.lit((1 << BITMAP_BITS) - 1))
+def hash_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """One bit per value of ``hash`` modulo the bitmap's size; at most 2 ** (bits - 6) rows reach the driver."""
+    bit = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
     one = F.expr("shiftleft(1L, cast(hash & 63 as int))")
     rows = items.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(one).alias("bits")).toPandas()
-    words = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
+    words = np.zeros(1 << (bits - 6), np.int64)
     words[rows["word"]] = rows["bits"]
     return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
 
@@ -175,7 +175,7 @@ def contaminated(
     """
     spark = docs.sparkSession
     items = _items(benchmark, size, item_col, item_text_col).where("item_id IS NOT NULL")
-    held = spark.sparkContext.broadcast(_bitmap(items))
+    held = spark.sparkContext.broadcast(hash_bitmap(items))
     widths = [r[0] for r in items.select("size").distinct().collect()]
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
     schema = widened(picked.select("id").schema, "size int, doc_at int, hash long, doc_slots array<bigint>")
