@@ -3,10 +3,12 @@
 Words become tokens: numbers, names and units are typed placeholders, other
 words are lower-cased and lose outer punctuation. Windows of tokens are matched
 by hash between documents and benchmark items. Windows that lie along one
-alignment of document and item count only if the slots are consistent: each
-value of the item's slots stands for one value in the document. So an item with
-other numbers, names or units is found as well as a copy, and two texts that
-merely have the same shape with shuffled values are not.
+alignment of document and item count if their slots are consistent: each value
+of the item's slots stands for one value in the document, the one it stands for
+in most windows. So an item with other numbers, names or units is found as well
+as a copy, a value that was altered in one place costs only the windows that
+hold it, and two texts that merely have the same shape are not found if
+shuffled values leave too little.
 
 Documents are only read once: a bitmap of fixed size with the hashes of all
 benchmark windows lets through the windows that can match.
@@ -14,6 +16,8 @@ benchmark windows lets through the windows that can match.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -154,6 +158,18 @@ def hash_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little").astype(bool)
 
 
+def consistent(windows: list[dict]) -> list[dict]:
+    """Windows of an alignment (``item``, ``doc``: values of their slots) in which
+    each value stands for what it stands for in most windows (of several, for
+    itself, else the least)."""
+    votes: dict[int, Counter] = {}
+    for w in windows:
+        for i, d in set(zip(w["item"], w["doc"], strict=True)):
+            votes.setdefault(i, Counter())[d] += 1
+    stands = {i: min(c, key=lambda d: (-c[d], d != i, d)) for i, c in votes.items()}
+    return [w for w in windows if all(stands[i] == d for i, d in zip(w["item"], w["doc"], strict=True))]
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -169,7 +185,8 @@ def contaminated(
     Returns ``doc_id``, ``item_id``, ``n_tokens`` of the item, ``n_covered`` (tokens
     of the item in matched windows) and ``reworded`` (some slot has another value
     in the document), for pairs with 100 * covered >= ``percent`` * tokens. A
-    document that holds an item several times, or repeated rows, give one row.
+    document that holds an item several times, or repeated rows, give one row;
+    rows of one id are aligned each for itself, and what they cover is put together.
     Null and empty texts hold nothing, items without words are in nothing; rows
     with a null id are left out. Other columns are ignored; empty tables give none.
     """
@@ -178,7 +195,9 @@ def contaminated(
     held = spark.sparkContext.broadcast(hash_bitmap(items))
     widths = [r[0] for r in items.select("size").distinct().collect()]
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
-    schema = widened(picked.select("id").schema, "size int, doc_at int, hash long, doc_slots array<bigint>")
+    # Rows of an id are told apart by their text.
+    picked = picked.withColumn("row", F.xxhash64("text"))
+    schema = widened(picked.select("id", "row").schema, "size int, doc_at int, hash long, doc_slots array<bigint>")
 
     def find(batches):
         for batch in batches:
@@ -189,7 +208,8 @@ def contaminated(
                     if len(hit):
                         h, at, text = h[hit], at[hit], text[hit]
                         columns = [
-                            part.column(0).take(pa.array(text)),
+                            part.column("id").take(pa.array(text)),
+                            part.column("row").take(pa.array(text)),
                             pa.array(np.full(len(h), width), pa.int32()),
                             pa.array(at, pa.int32()),
                             pa.array(h.view(np.int64)),
@@ -199,15 +219,24 @@ def contaminated(
 
     hits = picked.mapInArrow(find, schema).join(items, ["hash", "size"])
     hits = hits.where(F.size("doc_slots") == F.size("item_slots"))
-    slots = F.arrays_zip(F.col("item_slots").alias("i"), F.col("doc_slots").alias("d"))
-    along = hits.groupBy("id", "item_id", "n_tokens", "size", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
-        F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set(slots))).alias("slots")
+    along = hits.groupBy("id", "row", "item_id", "n_tokens", "size", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
+        F.collect_set(F.struct(F.col("item_at").alias("at"), F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))).alias("windows")
     )
-    values = F.array_distinct(F.transform("slots", lambda x: x["i"]))
-    consistent = along.where(F.size(values) == F.size("slots"))
-    spread = F.flatten(F.transform("at", lambda x: F.sequence(x, x + F.col("size") - 1)))
-    changed = F.exists("slots", lambda x: x["i"] != x["d"])
-    pairs = consistent.select("id", "item_id", "n_tokens", changed.alias("changed"), spread.alias("tokens"))
+    kinds = along.select("id", "item_id", "n_tokens").schema
+
+    def judge(batches):
+        for batch in batches:
+            held, changed, tokens = [], [], []
+            for i, (size_, found) in enumerate(zip(batch.column("size").to_pylist(), batch.column("windows").to_pylist(), strict=True)):
+                if left := consistent(found):
+                    held.append(i)
+                    changed.append(any(w["item"] != w["doc"] for w in left))
+                    tokens.append(sorted({w["at"] + k for w in left for k in range(size_)}))
+            at = pa.array(held, pa.int64())
+            columns = [*(batch.column(c).take(at) for c in kinds.names), pa.array(changed, pa.bool_()), pa.array(tokens, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, [*kinds.names, "changed", "tokens"])
+
+    pairs = along.select(*kinds.names, "size", "windows").mapInArrow(judge, widened(kinds, "changed boolean, tokens array<int>"))
     covered = F.size(F.array_distinct(F.flatten(F.collect_set("tokens"))))
     out = pairs.groupBy("id", "item_id", "n_tokens").agg(covered.alias("n_covered"), F.max("changed").alias("reworded"))
     return out.where(100 * F.col("n_covered") >= percent * F.col("n_tokens")).select(

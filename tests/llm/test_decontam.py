@@ -90,3 +90,18 @@ def test_reworded_and_inconsistent(spark):
     assert got == {(1, 9): False, (2, 9): True, (8, 9): True}
     assert decontam.contaminated(docs.where("false"), items).count() == 0
     assert decontam.contaminated(docs, items.where("false")).count() == 0
+
+
+def test_one_altered_value_and_rows_of_one_id(spark):
+    long = (
+        "A farmer keeps 12 brown hens near the old mill and sells their eggs at the weekly market in town for a fair price, "
+        "while a second farmer keeps 12 white geese beside the river and never sells any eggs at all to anybody who asks for them."
+    )
+    altered, twice = long.replace("12 white", "21 white"), long.replace("12 brown", "4 brown").replace("12 white", "7 white")
+    other = ITEM.replace("60", "75").replace("2 hours", "3 hours").replace("Alice", "Bob")
+    docs = [(1, altered), (2, twice), (3, ITEM), (3, other), (4, "A farmer keeps 12 brown hens near the old mill and sells none.")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(8, long), (9, ITEM)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_tokens, r.n_covered, r.reworded) for r in decontam.contaminated(docs, items).collect()}
+    # The second number is in eight windows, the first in four: those of the first, and four words, are left out.
+    assert got == {(1, 8): (48, 44, True), (2, 8): (48, 44, True), (3, 9): (31, 31, True)}
