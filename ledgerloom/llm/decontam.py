@@ -10,6 +10,10 @@ as a copy, a value that was altered in one place costs only the windows that
 hold it, and two texts that merely have the same shape are not found if
 shuffled values leave too little.
 
+Capitals at the start of a sentence tell no names, and what starts a sentence
+hangs on what stands before a text. So all texts are read twice: with names
+within sentences only, and with each capitalised word as a name.
+
 Documents are only read once: a bitmap of fixed size with the hashes of all
 benchmark windows lets through the windows that can match.
 """
@@ -67,12 +71,13 @@ def _capital(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (then >= 0x80) & (then <= 0x9E) & (then != 0x97))
 
 
-def canonical(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def canonical(column, anywhere: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Tokens of texts: template hash, value hash, literal flag, and where each text begins.
 
     A token that starts with a digit is a number, a unit word after a number a
-    unit, a capitalised word within a sentence a name (neighbouring names are one
-    token; words in capitals are literal).
+    unit, a capitalised word within a sentence, or ``anywhere``, a name (neighbouring
+    names are one token, if punctuation or a line break parts them only without
+    ``anywhere``; words in capitals are literal).
     """
     words, low = split_words(column), split_words(pc.utf8_lower(column))
     data, (start, end) = words.data, _trimmed(words)
@@ -84,21 +89,26 @@ def canonical(column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     fresh[words.first[:-1][words.first[:-1] < n]] = True
     fresh[1:] |= _STOP[data[words.end[:-1] - 1]]
     second = start + np.where(data[start] == 0xC3, 2, 1)
-    name = _capital(data, start) & ~fresh & (end > second) & ~_capital(data, second)
+    name = _capital(data, start) & (end > second) & ~_capital(data, second)
+    if anywhere:
+        lines = np.concatenate([[0], np.cumsum((data == 10) | (data == 13))])
+        fresh[1:] |= _PUNCTUATION[data[words.end[:-1] - 1]] | (lines[words.start[1:]] > lines[words.end[:-1]])
+    else:
+        name &= ~fresh
     unit = np.zeros(n, bool)
     unit[1:] = number[:-1] & np.isin(value[1:], _unit_hashes())
     unit[words.first[:-1][words.first[:-1] < n]] = False
     template = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, value)))
     keep = np.ones(n, bool)
-    keep[1:] = ~(name[1:] & name[:-1])
+    keep[1:] = ~(name[1:] & name[:-1] & ~fresh[1:])
     text = words.text_of()[keep]
     cuts = np.searchsorted(text, np.arange(len(words.first)))
     return template[keep], value[keep], ~(number | name | unit)[keep], cuts
 
 
-def windows(column, size: int):
+def windows(column, size: int, anywhere: bool = False):
     """Windows of ``size`` tokens inside one text: hash, place in its text, text, and the tokens."""
-    template, value, literal, cuts = canonical(column)
+    template, value, literal, cuts = canonical(column, anywhere)
     n = len(template)
     if n < size:
         empty = np.zeros(0, np.int64)
@@ -124,26 +134,28 @@ def _slots(tokens, at: np.ndarray, size: int) -> pa.ListArray:
 def _items(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """Windows of benchmark items; an item shorter than a window is one window of its length."""
     picked = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    schema = widened(picked.select("item_id").schema, "n_tokens int, size int, item_at int, hash long, item_slots array<bigint>")
+    schema = widened(picked.select("item_id").schema, "anywhere boolean, n_tokens int, size int, item_at int, hash long, item_slots array<bigint>")
 
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                length = np.diff(canonical(part.column(1))[3])
-                for width in np.unique(np.minimum(length[length > 0], size)):
-                    rows = np.flatnonzero(length >= size if width == size else length == width)
-                    texts = part.column(1).take(pa.array(rows))
-                    h, at, text, tokens = windows(texts, int(width))
-                    n = len(h)
-                    columns = [
-                        part.column(0).take(pa.array(rows[text])),
-                        pa.array(length[rows[text]], pa.int32()),
-                        pa.array(np.full(n, width), pa.int32()),
-                        pa.array(at, pa.int32()),
-                        pa.array(h.view(np.int64)),
-                        _slots(tokens, at + tokens[3][text], int(width)),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
+                for anywhere in (False, True):
+                    length = np.diff(canonical(part.column(1), anywhere)[3])
+                    for width in np.unique(np.minimum(length[length > 0], size)):
+                        rows = np.flatnonzero(length >= size if width == size else length == width)
+                        texts = part.column(1).take(pa.array(rows))
+                        h, at, text, tokens = windows(texts, int(width), anywhere)
+                        n = len(h)
+                        columns = [
+                            part.column(0).take(pa.array(rows[text])),
+                            pa.array(np.full(n, anywhere)),
+                            pa.array(length[rows[text]], pa.int32()),
+                            pa.array(np.full(n, width), pa.int32()),
+                            pa.array(at, pa.int32()),
+                            pa.array(h.view(np.int64)),
+                            _slots(tokens, at + tokens[3][text], int(width)),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
     return picked.mapInArrow(cut, schema)
 
@@ -193,23 +205,24 @@ def contaminated(
     spark = docs.sparkSession
     items = _items(benchmark, size, item_col, item_text_col).where("item_id IS NOT NULL")
     held = spark.sparkContext.broadcast(hash_bitmap(items))
-    widths = [r[0] for r in items.select("size").distinct().collect()]
+    readings = [tuple(r) for r in items.select("size", "anywhere").distinct().collect()]
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
     # Rows of an id are told apart by their text.
     picked = picked.withColumn("row", F.xxhash64("text"))
-    schema = widened(picked.select("id", "row").schema, "size int, doc_at int, hash long, doc_slots array<bigint>")
+    schema = widened(picked.select("id", "row").schema, "anywhere boolean, size int, doc_at int, hash long, doc_slots array<bigint>")
 
     def find(batches):
         for batch in batches:
             for part in slices(batch, "text", 2 << 20):
-                for width in widths:
-                    h, at, text, tokens = windows(part.column(1), width)
+                for width, anywhere in readings:
+                    h, at, text, tokens = windows(part.column(1), width, anywhere)
                     hit = np.flatnonzero(held.value[h & np.uint64((1 << BITMAP_BITS) - 1)])
                     if len(hit):
                         h, at, text = h[hit], at[hit], text[hit]
                         columns = [
                             part.column("id").take(pa.array(text)),
                             part.column("row").take(pa.array(text)),
+                            pa.array(np.full(len(h), anywhere)),
                             pa.array(np.full(len(h), width), pa.int32()),
                             pa.array(at, pa.int32()),
                             pa.array(h.view(np.int64)),
@@ -217,12 +230,12 @@ def contaminated(
                         ]
                         yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    hits = picked.mapInArrow(find, schema).join(items, ["hash", "size"])
+    hits = picked.mapInArrow(find, schema).join(items, ["hash", "size", "anywhere"])
     hits = hits.where(F.size("doc_slots") == F.size("item_slots"))
-    along = hits.groupBy("id", "row", "item_id", "n_tokens", "size", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
+    along = hits.groupBy("id", "row", "item_id", "anywhere", "n_tokens", "size", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct(F.col("item_at").alias("at"), F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))).alias("windows")
     )
-    kinds = along.select("id", "item_id", "n_tokens").schema
+    kinds = along.select("id", "item_id", "anywhere", "n_tokens").schema
 
     def judge(batches):
         for batch in batches:
@@ -238,11 +251,15 @@ def contaminated(
 
     pairs = along.select(*kinds.names, "size", "windows").mapInArrow(judge, widened(kinds, "changed boolean, tokens array<int>"))
     covered = F.size(F.array_distinct(F.flatten(F.collect_set("tokens"))))
-    out = pairs.groupBy("id", "item_id", "n_tokens").agg(covered.alias("n_covered"), F.max("changed").alias("reworded"))
-    return out.where(100 * F.col("n_covered") >= percent * F.col("n_tokens")).select(
+    out = pairs.groupBy("id", "item_id", "anywhere", "n_tokens").agg(covered.alias("n_covered"), F.max("changed").alias("reworded"))
+    # Of both readings that which covers more counts.
+    order = [(F.col("n_covered") / F.col("n_tokens")).alias("share"), (~F.col("anywhere")).alias("within")]
+    best = F.max(F.struct(*order, "n_tokens", "n_covered", "reworded")).alias("best")
+    out = out.where(100 * F.col("n_covered") >= percent * F.col("n_tokens")).groupBy("id", "item_id").agg(best)
+    return out.select(
         F.col("id").alias(id_col),
         F.col("item_id").alias(item_col),
-        F.col("n_tokens").cast("long"),
-        F.col("n_covered").cast("long"),
-        "reworded",
+        F.col("best.n_tokens").cast("long").alias("n_tokens"),
+        F.col("best.n_covered").cast("long").alias("n_covered"),
+        F.col("best.reworded").alias("reworded"),
     )

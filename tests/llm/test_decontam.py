@@ -105,3 +105,16 @@ def test_one_altered_value_and_rows_of_one_id(spark):
     got = {(r.doc_id, r.item_id): (r.n_tokens, r.n_covered, r.reworded) for r in decontam.contaminated(docs, items).collect()}
     # The second number is in eight windows, the first in four: those of the first, and four words, are left out.
     assert got == {(1, 8): (48, 44, True), (2, 8): (48, 44, True), (3, 9): (31, 31, True)}
+
+
+def test_names_at_the_start_of_sentences(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more apples. Tom eats 2 apples. How many apples does Tom have?"
+    short = "Trains pass the bridge near Boston every hour"
+    heads = ["Heading\n", "- ", "7 ", "He said, ", 'He said "no." ', "so "]
+    docs = [(0, tom.replace("Tom", "Ana")), (1, "Ann has 5 apples. Bea buys 3 more apples. Cid eats 2 apples. How many apples does Dan have?")]
+    docs += [(10 + i, head + short) for i, head in enumerate(heads)] + [(20 + i, head + tom) for i, head in enumerate(heads)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(8, tom), (9, short)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.reworded for r in decontam.contaminated(docs, items).collect()}
+    n = len(heads)
+    assert got == {(0, 8): True} | {(10 + i, 9): False for i in range(n)} | {(20 + i, 8): False for i in range(n)}
