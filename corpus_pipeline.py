@@ -48,11 +48,12 @@ def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, neither as it is nor with other values
-    (rows with a null id all stay)."""
+    (rows with a null id are told apart by their text)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaks = decontam.contaminated(docs, benchmark).select("doc_id").distinct()
-    left = docs.where("doc_id IS NOT NULL").join(leaks, "doc_id", "left_anti").select(*docs.columns)
-    return left.union(docs.where("doc_id IS NULL"))
+    own = F.concat(F.lit("text "), F.sha2(F.col("text").cast("binary"), 256))
+    keyed = docs.withColumn("leak_key_", F.coalesce(F.concat(F.lit("id "), F.col("doc_id").cast("string")), own))
+    leaks = decontam.contaminated(keyed.select("leak_key_", "text"), benchmark, id_col="leak_key_").select("leak_key_").distinct()
+    return keyed.join(leaks, "leak_key_", "left_anti").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,6 +70,15 @@ def test_dedup_keeps_null_ids_and_one_row_of_an_id(spark):
     assert left == [(0, "", ""), (0, "a b c d e f", "x"), (0, "a b c d e f", "x"), (1, "q r s t u v", "y")]
 
 
+def test_leaks_without_an_id_go(spark, tmp_path):
+    item = "a farmer keeps twelve brown hens near the old mill and sells their eggs in town"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, "so " + item), (None, "so " + item), (None, "other words"), (None, None), (1, item), (2, "other words"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = sorted((r.doc_id or 0, r.text or "") for r in corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect())
+    assert left == [(0, ""), (0, "other words"), (2, "other words"), (3, "")]
+
+
 @pytest.mark.parametrize("kind", ["odd", "empty"])
 def test_pipeline_on_odd_tables(spark, folders, kind):
     docs = spark.read.parquet(f"{folders[kind]}/documents.parquet")
