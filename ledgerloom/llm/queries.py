@@ -11,7 +11,7 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat, decontam, host_text, interpolation, langmix, minmax, mixing, phrases, rules, warc
+from ledgerloom.llm import chat, decontam, heap_means, host_text, interpolation, langmix, merkle, minmax, mixing, phrases, rules, token_counts, warc
 from ledgerloom.session import scratch_dir
 
 QUERIES = {}
@@ -302,3 +302,110 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     found = langmix.predicted_languages(docs, langs, model).drop("lang_shares")
     return found.withColumn("held_out", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)))
 
+
+
+def _means_sql(rounds: int = 5, k: int = 40) -> str:
+    """SQL of the clustering: assignments and centroids, one pair of tables per round."""
+    out = [
+        f"""WITH kept AS (
+            SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: cast(floor(256 * x::DOUBLE) AS BIGINT)) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), x AS (SELECT id, unnest(v) AS v, unnest(range(64)) AS dim FROM kept
+        ), start AS (
+            SELECT id, row_number() OVER (ORDER BY sha256('2:' || coalesce(cast(vec_id AS VARCHAR), '')), v) - 1 AS c FROM kept
+            QUALIFY c < {k}
+        ), c0 AS (SELECT c, dim, v FROM start JOIN x USING (id))"""
+    ]
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS (
+            SELECT id, cast(min(far) AS BIGINT) AS far, arg_min(c, (far, c)) AS c
+            FROM (SELECT id, c, sum((x.v - y.v) * (x.v - y.v)) AS far FROM x JOIN c{r} y USING (dim) GROUP BY id, c) GROUP BY id
+        )""")
+        if r < rounds:
+            out.append(f"""c{r + 1} AS (
+                SELECT o.c, o.dim, coalesce(m.v, o.v) AS v FROM c{r} o
+                LEFT JOIN (SELECT c, dim, cast((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) AS BIGINT) AS v FROM a{r} JOIN x USING (id) GROUP BY c, dim) m
+                ON m.c = o.c AND m.dim = o.dim
+            )""")
+    return ",\n".join(out) + f"""
+        SELECT vec_id, cast(c AS INT) AS cluster, far AS distance, cast(sum(far) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+            cast(sum(far) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM a{rounds} JOIN kept USING (id) JOIN (SELECT c, sha256(string_agg(cast(v AS VARCHAR), ',' ORDER BY dim)) AS centroid_sha256 FROM c{rounds} GROUP BY c) USING (c)"""
+
+
+@_registered("op11_heap_means", _means_sql())
+def op11_heap_means(spark: SparkSession, folder: str) -> DataFrame:
+    """Clusters of all embeddings after five rounds."""
+    return heap_means.clustered(_table(spark, folder, "embeddings"))
+
+
+def _merkle_sql(levels: int = 20, run_levels: int = 6) -> str:
+    """SQL of the manifest: one table of nodes per level, over the leaves and then over the subroots
+    (up to two to these powers of them)."""
+    part = "coalesce(cast(strlen(cast({0} AS VARCHAR)) AS VARCHAR) || ':' || cast({0} AS VARCHAR), '-')".format
+    kept = "".join(part(c) + " || " for c in ("doc_id", "source", "lang"))
+    out = [
+        f"""WITH RECURSIVE crc_table AS (
+            SELECT b, list_reduce([b::BIGINT] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+            FROM (SELECT unnest(range(256)) AS b)
+        ), crc_list AS (SELECT list(v ORDER BY b) AS t FROM crc_table
+        ), ids AS (
+            SELECT doc_id AS known, xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(cast(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(cast(doc_id AS VARCHAR), i::INT, 1))::BIGINT),
+                lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), crc_list
+        ), leaves AS (
+            SELECT row_number() OVER () AS id, d.doc_id, coalesce('=' || lang, '-') AS run,
+                sha256({kept} {part("n_chars")} || {part("text")}) AS leaf,
+                sha256({kept} CASE WHEN crc % 7 = 0 THEN {part("(n_chars + 1)")} ELSE {part("n_chars")} END || {part("text")}) AS shown
+            FROM documents d LEFT JOIN ids ON known = d.doc_id
+        ), n0 AS (
+            SELECT run, row_number() OVER (PARTITION BY run ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS p, leaf AS d, id FROM leaves
+        )"""
+    ]
+
+    def level(to: str, below: str) -> str:
+        return f"""{to} AS (
+            SELECT run, p // 2 AS p, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY p)) ELSE min(d) END AS d
+            FROM (SELECT *, count(*) OVER (PARTITION BY run) AS n FROM {below}) GROUP BY run, p // 2
+        )"""
+
+    def step(to: str, before: str, nodes: str, h: int, place: str, run: str) -> str:
+        return f"""{to} AS (
+            SELECT w.* REPLACE (
+                CASE WHEN s.d IS NOT NULL THEN w.proof || s.d ELSE w.proof END AS proof,
+                CASE WHEN s.d IS NULL AND n = 1 THEN w.now WHEN s.d IS NULL THEN sha256(w.now)
+                    WHEN (w.{place} >> {h}) % 2 = 1 THEN sha256(s.d || w.now) ELSE sha256(w.now || s.d) END AS now)
+            FROM {before} w JOIN (SELECT run, count(*) AS n FROM {nodes} GROUP BY run) c ON c.run = {run}
+            LEFT JOIN {nodes} s ON s.run = {run} AND s.p = xor(w.{place} >> {h}, 1)
+        )"""
+
+    out += [level(f"n{h + 1}", f"n{h}") for h in range(levels)]
+    out.append(f"m0 AS (SELECT '' AS run, row_number() OVER (ORDER BY encode(run)) - 1 AS p, d, run AS of FROM n{levels})")
+    out += [level(f"m{h + 1}", f"m{h}") for h in range(run_levels)]
+    out.append("w0 AS (SELECT l.*, n0.p AS place, m0.p AS rank, m0.d AS subroot, '' AS proof, shown AS now FROM leaves l JOIN n0 USING (id) JOIN m0 ON m0.of = l.run)")
+    out += [step(f"w{h + 1}", f"w{h}", f"n{h}", h, "place", "w.run") for h in range(levels)]
+    out += [step(f"w{levels + h + 1}", f"w{levels + h}", f"m{h}", h, "rank", "''") for h in range(run_levels)]
+    out.append(f"""r AS (SELECT d AS root FROM m{run_levels})
+        SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified FROM w{levels + run_levels}, r""")
+    return ",\n".join(out[:-1]) + ",\n" + out[-1]
+
+
+@_registered("op12_merkle_manifest", _merkle_sql())
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Root, and proof of each document, some of which are presented with one character too many."""
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    columns = [F.col(c) for c in docs.columns]
+    more = F.when(fold("doc_id", 7) == 0, F.col("n_chars").cast("decimal(20,0)") + 1).otherwise(F.col("n_chars").cast("decimal(20,0)"))
+    return merkle.manifest(docs, F.col("lang"), ["doc_id"], merkle.leaf_digest(*columns), merkle.leaf_digest(*columns[:3], more, columns[4]))
+
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+@_registered("op13_token_counts")
+def op13_token_counts(spark: SparkSession, folder: str, limit: int = 512) -> DataFrame:
+    """Tokens of all documents by a public tokenizer, and whether they exceed a window."""
+    import public_tokenizers
+
+    counts = token_counts.token_counts(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+    return counts.withColumn("over_limit", F.col("n_tokens") > limit)
