@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ledgerloom.functions.text import braced_list
 
@@ -124,6 +124,27 @@ def rejected(df: DataFrame, spec: FlattenSpec) -> DataFrame:
     return df.where(~spec.accepts())
 
 
+#: The outcome of a document that holds every required key.
+ACCEPTED = "accepted"
+
+
+def route(df: DataFrame, spec: FlattenSpec, into: str = "outcome") -> DataFrame:
+    """Every document with its flat columns and its outcome, in one pass: ``accepted``,
+    or the first required predicate that it fails."""
+    outcome = F.lit(ACCEPTED)
+    for predicate in reversed(spec.required):
+        outcome = F.when(F.coalesce(F.expr(predicate), F.lit(False)), outcome).otherwise(F.lit(predicate))
+    return df.withColumn(into, outcome)
+
+
+def counted_outcomes(df: DataFrame, spec: FlattenSpec, outcome: str = "outcome") -> tuple[DataFrame, Observation]:
+    """The routed rows, and an observation that counts each outcome while they are
+    written or read for the first time (one number per predicate, and the accepted)."""
+    seen = Observation()
+    counts = [F.count_if(F.col(outcome) == text).alias(text) for text in (ACCEPTED, *spec.required)]
+    return df.observe(seen, *counts), seen
+
+
 def flatten_strict(df: DataFrame, spec: FlattenSpec) -> DataFrame:
     """Like ``flatten``, but a row without a required key fails the job."""
     checked = [

@@ -1,7 +1,7 @@
 """Joins. No hints: Spark broadcasts only a side whose size it has checked,
 sorts and merges otherwise, and splits skewed partitions of inner joins on
 either side and of outer joins on the preserved side. The ``*_by_parts`` forms
-keep every hot key on a side that can be split."""
+cut hot keys that Spark cannot split into parts of their own."""
 
 from __future__ import annotations
 
@@ -32,14 +32,31 @@ def inner_on_measure(
 
 
 def lookup_levels(
-    df: DataFrame, levels: Mapping[str, str], dim: DataFrame, key: str, value: str
+    df: DataFrame, levels: Mapping[str, str], dim: DataFrame, key: str, value: str, row_key: str
 ) -> DataFrame:
-    """Look several columns up in one dimension: ``{key column: value column}``."""
-    out = df
-    for i, (source, target) in enumerate(levels.items()):
-        side = dim.select(F.col(key).alias(f"_k{i}"), F.col(value).alias(target))
-        out = out.join(side, F.col(source) == F.col(f"_k{i}"), "left").drop(f"_k{i}")
-    return out
+    """Look several columns up in one dimension: ``{key column: value column}``.
+
+    The keys of a row become rows of their own, meet the dimension in one join and
+    are put back by position. ``row_key`` must be unique in ``df``; rows dealt by it
+    already are not dealt again. A key that the dimension has several times gives
+    several rows, one without a match gives NULL.
+    """
+    others = [c for c in df.columns if c != row_key and c not in levels]
+    asked = df.select(
+        row_key,
+        *[c for c in df.columns if c != row_key],
+        F.posexplode(F.array(*[F.col(c) for c in levels])).alias("_pos", "_key"),
+    )
+    side = dim.select(F.col(key).alias("_k"), F.struct(F.col(value).alias("v")).alias("_found"))
+    found = asked.join(side, F.col("_key") == F.col("_k"), "left")
+    carried = [F.first(F.struct(*others, *levels)).alias("_row")]
+    # A few values per position: as many as the dimension has of one key.
+    values = [F.collect_list(F.when(F.col("_pos") == i, F.col("_found"))).alias(f"_v{i}") for i in range(len(levels))]
+    out = found.groupBy(row_key).agg(*carried, *values)
+    for i, target in enumerate(levels.values()):
+        out = out.withColumn(target, F.explode_outer(f"_v{i}")).withColumn(target, F.col(target)["v"])
+    row = {c: F.col(row_key) if c == row_key else F.col("_row")[c].alias(c) for c in df.columns}
+    return out.select(*row.values(), *levels.values())
 
 
 def at_latest_completed(
@@ -61,32 +78,84 @@ def at_latest_completed(
     )
 
 
-def _with_nulls(df: DataFrame, like: DataFrame) -> list[Column]:
-    """Columns of ``like`` in order, taken from ``df`` or NULL of the right type."""
-    return [
-        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in like.schema.fields
-    ]
+#: Rows of one key that one task may hold in the ``*_by_parts`` joins.
+PART_ROWS = 1 << 20
+
+
+def _parts(keys: DataFrame, key: str, part_rows: int, into: str) -> DataFrame:
+    """Keys with more rows than a part holds, and how many parts they need.
+
+    There are at most (rows / ``part_rows``) of them, a million among 10^12 rows,
+    so they are sent to all tasks instead of moving the rows of a side once more.
+    """
+    counted = keys.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"{into}_key")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col("n") > part_rows).select(f"{into}_key", F.ceil(F.col("n") / part_rows).cast("int").alias(into))
 
 
-def left_join_by_parts(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Left outer join for a right side that may hold hot keys.
+def _spread(df: DataFrame, parts: Column) -> Column:
+    """The part of a row: a hash of its columns (maps cannot be hashed)."""
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.pmod(F.xxhash64(*plain), parts).cast("int")
+
+
+def _joined_by_parts(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, part_rows: int, left_keys: DataFrame, right_keys: DataFrame
+) -> DataFrame:
+    """Outer join on key and part.
+
+    Rows of a hot key are dealt to its parts, and the other side's rows of that key
+    are repeated for each of them. A repeated row may find its part empty; since the
+    key has rows, it matches elsewhere, and that lone copy is dropped. Rows without a
+    key match nothing and are dealt out evenly.
+    """
+    even = F.lit(1024)
+    a, b = left.withColumn("_l", F.lit(True)), right.withColumn("_r", F.lit(True))
+    hot_right = F.broadcast(_parts(right_keys, right_key, part_rows, "_b"))
+    b = b.join(hot_right, F.col(right_key) == F.col("_b_key"), "left").drop("_b_key")
+    a = a.join(hot_right, F.col(left_key) == F.col("_b_key"), "left").drop("_b_key")
+    b_parts, a_parts = F.coalesce("_b", F.lit(1)), F.lit(1)
+    if how == "full_outer":
+        # Only here a hot key of the left side needs parts as well: in a left join Spark splits it.
+        hot_left = F.broadcast(_parts(left_keys, left_key, part_rows, "_a"))
+        a = a.join(hot_left, F.col(left_key) == F.col("_a_key"), "left").drop("_a_key")
+        b = b.join(hot_left, F.col(right_key) == F.col("_a_key"), "left").drop("_a_key")
+        a_parts = F.coalesce("_a", F.lit(1))
+    no_key = lambda key, whole: F.when(F.col(key).isNull(), even).otherwise(whole)
+    a = a.withColumns({"_n": b_parts, "_own": _spread(left, no_key(left_key, a_parts))})
+    a = a.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    a = a.select(*left.columns, "_l", F.col("_n").alias("_n_right"), F.col("_own").alias("_pa"), F.col("_other").alias("_pb"))
+    b = b.withColumns({"_n": a_parts, "_own": _spread(right, no_key(right_key, b_parts))})
+    b = b.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    b = b.select(*right.columns, "_r", F.col("_n").alias("_n_left"), F.col("_own").alias("_qb"), F.col("_other").alias("_qa"))
+    same = (F.col(left_key) == F.col(right_key)) & (F.col("_pb") == F.col("_qb")) & (F.col("_pa") == F.col("_qa"))
+    joined = a.join(b, same, how)
+    lone_left = F.col("_r").isNull() & (F.col("_n_right") > 1)
+    lone_right = F.col("_l").isNull() & (F.col("_n_left") > 1)
+    kept = joined.where(~F.coalesce(lone_left, F.lit(False)) & ~F.coalesce(lone_right, F.lit(False)))
+    return kept.select(*left.columns, *right.columns)
+
+
+def left_join_by_parts(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, part_rows: int = PART_ROWS, right_keys: DataFrame | None = None
+) -> DataFrame:
+    """Left outer join for a right side that may hold hot keys, which Spark cannot split there.
 
-    Matches come from an inner join, where skew on either side is split; left
-    rows without a match come from an anti join against the distinct keys.
+    Keys with more than ``part_rows`` right rows are cut into parts. They are counted
+    in ``right_keys``, anything with the right key's column and exactly the keys of
+    ``right`` (itself by default): a narrow scan where ``right`` is dear to compute.
+    Equal rows lie in one part. Column names of the two sides must differ.
     """
-    matched = left.join(right, F.col(left_key) == F.col(right_key), "inner")
-    keys = right.select(F.col(right_key).alias("_key")).distinct()
-    single = left.join(keys, F.col(left_key) == F.col("_key"), "left_anti")
-    return matched.unionByName(single.select(*_with_nulls(single, matched)))
+    keys = right if right_keys is None else right_keys
+    return _joined_by_parts(left, right, left_key, right_key, "left", part_rows, left, keys)
 
 
-def full_join_by_parts(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """Full outer join as a left join by parts plus the right rows without a match."""
-    joined = left_join_by_parts(left, right, left_key, right_key)
-    keys = left.select(F.col(left_key).alias("_key")).distinct()
-    single = right.join(keys, F.col(right_key) == F.col("_key"), "left_anti")
-    return joined.unionByName(single.select(*_with_nulls(single, joined)))
+def full_join_by_parts(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, part_rows: int = PART_ROWS,
+    left_keys: DataFrame | None = None, right_keys: DataFrame | None = None,
+) -> DataFrame:
+    """Full outer join whose hot keys, on either side or both, are cut into parts (see above)."""
+    keys = left if left_keys is None else left_keys, right if right_keys is None else right_keys
+    return _joined_by_parts(left, right, left_key, right_key, "full_outer", part_rows, *keys)
 
 
 def anti_later_event(
@@ -95,10 +164,11 @@ def anti_later_event(
     """Rows of status ``value`` after which their key shows no other status.
 
     Asking for a later row is the same as comparing with the latest one, so the
-    history is reduced to one time per key before it is joined.
+    history is cut down to the keys that are asked about and reduced to one time
+    per key before it is joined.
     """
     later = (
-        history.where(F.col(status) != value)
+        semi_lookup(history.where(F.col(status) != value), rows, key, key)
         .groupBy(F.col(key).alias("_k"))
         .agg(F.max(moment).alias("_last"))
     )

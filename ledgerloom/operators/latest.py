@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ledgerloom.session import scratch_dir
+
 
 def first_per_key(
     df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column], count: int, number: str
@@ -41,6 +43,38 @@ def rows_at_latest(df: DataFrame, keys: Sequence[str], moment: Column) -> DataFr
     return dated.join(last, same).select(*df.columns)
 
 
+_ROW_IN_PARTITION = (1 << 33) - 1
+
+
+def numbered_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column], number: str) -> DataFrame:
+    """Number the rows of each key from 1 in ``order``, however large a key is.
+
+    Rows are dealt to partitions by ranges of key and order, so a key may span many
+    tasks, and stored; a row's number is its place in its partition, less the rows of
+    earlier keys there, plus the rows that its key has in earlier partitions (one
+    count per key and partition). ``order`` must be total; with no ``keys`` all rows
+    are numbered.
+    """
+    spark = df.sparkSession
+    where = scratch_dir(spark, "numbered")
+    ranges = [*[F.col(k).asc() for k in keys], *order]
+    dealt = df.repartitionByRange(*ranges).sortWithinPartitions(*ranges)
+    # The identifier counts the rows of each partition in their order.
+    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(where)
+    stored = spark.read.parquet(where).withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(_ROW_IN_PARTITION))
+    parts = stored.groupBy(*keys, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        *[F.col(k).alias(f"_o_{k}") for k in keys],
+        F.col("_part").alias("_o_part"),
+        (F.coalesce(F.sum("_size").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+    )
+    same = F.col("_part") == F.col("_o_part")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
+    return stored.join(offsets, same).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(number))
+
+
 def sequence_number(
     df: DataFrame,
     keys: Sequence[str],
@@ -50,16 +84,15 @@ def sequence_number(
 ) -> DataFrame:
     """Number the rows of each key from 1 in ``order``.
 
-    Without ``split_by`` a key's rows meet in one task, which suits keys of
-    bounded size. For keys that may be huge, ``split_by`` must be a coarse
-    value that never decreases along ``order`` (the hour of a timestamp): rows
-    are numbered within (key, slice) and shifted by the size of the key's
-    earlier slices, so no task holds a whole key. Choose it so fine that the
-    rows of the largest key fit a task per slice; the slices of one key, a row
-    each, are summed up in one task.
+    Without ``split_by`` rows are numbered by ``numbered_rows``, which splits any
+    key but stores the rows once. ``split_by``, a coarse value that never decreases
+    along ``order`` (the hour of a timestamp), avoids that: rows are numbered within
+    (key, slice) and shifted by the size of the key's earlier slices. Choose it so
+    fine that the rows of the largest key fit a task per slice; the slices of one
+    key, a row each, are summed up in one task.
     """
     if split_by is None:
-        return df.withColumn(number, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+        return numbered_rows(df, keys, order, number).withColumn(number, F.col(number).cast("int"))
     sliced = df.withColumn("_slice", split_by)
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)

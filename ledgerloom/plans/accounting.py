@@ -199,12 +199,14 @@ def bank_rows(
     booked: Column,
     market: Market,
     tie_break: str,
+    short_period: bool = False,
     compat: bool = False,
 ) -> DataFrame:
     """Uploaded bank rows of the period with the invoice they pay.
 
     The tariff is taken per merchant without a category; of several categories
-    the greatest rate counts.
+    the greatest rate counts. For a ``short_period`` invoices and order history are
+    first cut down to the orders paid in it; a long one keeps nearly all of them.
     """
     codes = list(market.lender.rate_columns().values())
     rates = tariffs.groupBy(F.col("merchant_id").alias("merch_id")).agg(
@@ -212,13 +214,14 @@ def bank_rows(
     )
     uploaded = bank.where(F.col("upload").isNotNull())
     day = uploaded.withColumn("_booked", business_day(F.col("upload"))).where(booked)
-    # Only orders with an invoice that one of these rows pays are looked at: the
-    # choice is made per order, over all its invoices.
-    paid = semi_lookup(
-        invoices.withColumn("_paid_by", F.concat("bank_trans_id", F.lit("9"))), day, "_paid_by", "order_id"
-    )
-    known = invoices if compat else semi_lookup(invoices, paid, "order_id", "order_id")
-    states = _order_state(history, tie_break, None if compat else known)
+    known = invoices
+    if short_period and not compat:
+        # The choice is made per order, over all its invoices, if one of them is paid.
+        paid = semi_lookup(
+            invoices.withColumn("_paid_by", F.concat("bank_trans_id", F.lit("9"))), day, "_paid_by", "order_id"
+        )
+        known = semi_lookup(invoices, paid, "order_id", "order_id")
+    states = _order_state(history, tie_break, known if short_period and not compat else None)
     invoiced = (
         _one_invoice_per_order(known, states, compat)
         .join(_merchant_details(merchants, requisites), "merch_id", "left")
@@ -265,7 +268,7 @@ def bank_statement(
     )
     booked = on_day(F.col("_booked"), as_of)
     rows = bank_rows(
-        bank, invoices, merchants, requisites, history, tariffs, booked, market, tie_break, compat
+        bank, invoices, merchants, requisites, history, tariffs, booked, market, tie_break, True, compat
     )
     return union_all([sales, rows])
 

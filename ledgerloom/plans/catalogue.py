@@ -286,30 +286,31 @@ def category_ids(products: DataFrame, path: str = "default_category", longer_tha
 def _path_counts(
     products: DataFrame, nomenclature: DataFrame, market: Market, grain: Sequence[str]
 ) -> DataFrame:
-    """Distinct items per category path (and ``grain``) under the four measures."""
-    items = conditional_distinct_counts(
-        listed(nomenclature, market).withColumn("product_name", F.col("name_ebt")),
-        ["categories_array", *grain],
-        "product_id",
-        {
-            "sku_nomenclature": F.lit(True),
-            "sku_available": is_available(),
-            "sku_active": is_active(),
-        },
-    )
-    catalogue = count_distinct_by(
-        catalogue_products(products, market).withColumn("product_name", F.col("name_")),
-        ["categories_array", *grain],
-        "id",
-        "sku_ebt",
-    )
-    zero = F.lit(0).cast("long")
-    return union_all(
-        [
-            items.withColumn("sku_ebt", zero),
-            catalogue.withColumns({name: zero for name in COUNTS[1:]}),
-        ]
-    )
+    """Distinct items per category path (and ``grain``) under the four measures.
+
+    Items and products are flagged and put under each other, so that both are
+    counted together. With a ``grain``, whose groups are small, rows are dealt once
+    by path and grain, which serves the distinct identifiers, their counts and the
+    sums; a path alone may hold a third of all items, so there each (path,
+    identifier) is reduced to one row first.
+    """
+    keys = ["categories_array", *grain]
+    flags = {"sku_nomenclature": F.lit(True), "sku_available": is_available(), "sku_active": is_active()}
+    no = F.lit(False)
+    items = listed(nomenclature, market).withColumn("product_name", F.col("name_ebt"))
+    items = items.select(
+        *keys, F.struct(F.lit(1).alias("kind"), F.col("product_id").cast("string").alias("id")).alias("item"),
+        *[F.coalesce(cond, no).alias(name) for name, cond in flags.items()], no.alias("sku_ebt"),
+    ).where("item.id IS NOT NULL")
+    catalogue = catalogue_products(products, market).withColumn("product_name", F.col("name_"))
+    catalogue = catalogue.select(
+        *keys, F.struct(F.lit(2).alias("kind"), F.col("id").cast("string").alias("id")).alias("item"),
+        *[no.alias(name) for name in flags], F.lit(True).alias("sku_ebt"),
+    ).where("item.id IS NOT NULL")
+    rows = union_all([items, catalogue])
+    if grain:
+        rows = rows.repartition(*keys)
+    return conditional_distinct_counts(rows, keys, "item", {name: F.col(name) for name in COUNTS})
 
 
 def catalog_counts(

@@ -392,7 +392,8 @@ def customer_profile(
         )
         .distinct()
     )
-    prices = history.select(F.col("uid").alias("order_id"), "common_price").distinct()
+    # The result is made distinct as a whole, so prices need not be.
+    prices = history.select(F.col("uid").alias("order_id"), "common_price")
     income, price, age = F.col("income"), F.col("price"), F.col("age")
     return (
         people.join(incomes, "order_id")
@@ -433,15 +434,16 @@ def abandoned_orders(
     new = history.where(F.col("status") == "new").withColumn(
         "phone", normalise_phone(F.col("user_mobile"))
     )
+    wanted = hours_before(F.col("created_on"), as_of, start_hours, end_hours) & ~F.lower("user_name").isin(*fv.TEST_NAMES)
+    # Only phones with an order in these hours can be listed; the others are not ranked.
+    phones = new.where(wanted).select("phone").distinct()
+    asked = new.join(phones.withColumnRenamed("phone", "_phone"), F.col("phone").eqNullSafe(F.col("_phone")), "left_semi")
     orders = latest_per_key(
-        semi_lookup(new, shown, "uid", "uid"),
+        semi_lookup(asked, shown, "uid", "uid"),
         ["phone"],
         [F.col("updated_on").desc(), F.col(tie_break).desc()],
     )
-    recent = orders.where(
-        hours_before(F.col("created_on"), as_of, start_hours, end_hours)
-        & ~F.lower("user_name").isin(*fv.TEST_NAMES)
-    )
+    recent = orders.where(wanted)
     open_orders = anti_later_event(recent, history, "uid", "updated_on", "status", "new")
     lines = shown.select(
         "uid",
@@ -583,11 +585,11 @@ def purchases_report(
 
 
 def with_category_titles(rows: DataFrame, categories: DataFrame, depth: int) -> DataFrame:
-    """Add ``cat1..catN``, the titles along ``categories_array``."""
+    """Add ``cat1..catN``, the titles along ``categories_array``, which must be unique in ``rows``."""
     path = braced_list(F.col("categories_array"))
     keys = {f"_id{k}": level(path, k) for k in range(1, depth + 1)}
     targets = {key: f"cat{k}" for k, key in enumerate(keys, 1)}
-    looked_up = lookup_levels(rows.withColumns(keys), targets, categories, "id", "title")
+    looked_up = lookup_levels(rows.withColumns(keys), targets, categories, "id", "title", row_key="categories_array")
     return looked_up.drop(*keys)
 
 

@@ -86,6 +86,7 @@ def _process_rows(
     incidents: DataFrame,
     executions: DataFrame,
     steps: DataFrame | None,
+    step_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Processes with steps, open tasks and lookups, plus open tasks without a process.
 
@@ -108,10 +109,12 @@ def _process_rows(
     shown = PROCESS if steps is not None else [c for c in PROCESS if c != "proc_def_id_"]
     base = processes.select(*shown).distinct()
     if steps is not None:
-        base = left_join_by_parts(base, steps, "proc_inst_id_", "_step_proc").drop("_step_proc")
+        base = left_join_by_parts(base, steps, "proc_inst_id_", "_step_proc", right_keys=step_keys).drop("_step_proc")
         with_tasks = base.join(open_tasks, F.col("proc_inst_id_") == F.col("_task_proc"), "left")
     else:
-        with_tasks = left_join_by_parts(base, open_tasks, "proc_inst_id_", "_task_proc")
+        open_keys = tasks.where((F.col("completed") == "false") & F.col("application_num").isNotNull())
+        open_keys = open_keys.select(F.col("proc_def_id_").alias("_task_proc"))
+        with_tasks = left_join_by_parts(base, open_tasks, "proc_inst_id_", "_task_proc", right_keys=open_keys)
     states = completed_state(tasks)
     finished = F.col("state") == "true"
     known = (
@@ -203,7 +206,8 @@ def process_steps(
         )
         .distinct()
     )
-    rows = _process_rows(tasks, processes, employees, incidents, executions, steps)
+    step_keys = tasks.select(F.col("proc_def_id_").alias("_step_proc"))
+    rows = _process_rows(tasks, processes, employees, incidents, executions, steps, step_keys)
     return rows.select(
         *_shown(True),
         *STEP,

@@ -7,8 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import fixed_values as fv
+from ledgerloom.operators.incremental import DistinctDays
+from ledgerloom.operators.unions import union_all
 from ledgerloom.plans import accounting, accounts, catalogue, orders, processes
 from ledgerloom.plans.market import Market
+from ledgerloom.session import scratch_dir
 from ledgerloom.sinks import with_headers
 from registry.core import Tables, query
 from registry.fragments import KINDS, PLACE, REASON, STAGE, WHEREABOUTS
@@ -367,6 +370,33 @@ def _(t: Tables):
     return accounts.user_counts(t.accounts, market(), AS_OF)
 
 
+RANGES = {"month": (date(2020, 1, 1), date(2020, 1, 31)), "day": (date(2020, 2, 29), date(2020, 2, 29)), "quarters": (date(2020, 1, 15), date(2020, 9, 30))}
+
+
+@query(
+    "user_counts_range",
+    f"""
+    WITH ranges(label, first_, last_) AS (VALUES
+        {", ".join(f"('{k}', DATE '{a}', DATE '{b}')" for k, (a, b) in RANGES.items())})
+    SELECT label, upper(brand) AS brand, id_space, count(DISTINCT profile_id) AS profiles
+    FROM accounts JOIN ranges ON cast(created AS DATE) BETWEEN first_ AND last_
+    WHERE state ILIKE '%active%' AND brand ILIKE 'market' AND id_space ILIKE '%mobile%'
+    GROUP BY label, upper(brand), id_space
+    """,
+)
+def _(t: Tables):
+    """Distinct profiles over three ranges of days, from bitmaps stored in two deliveries; the
+    second one brings part of the days again."""
+    days = DistinctDays(t.spark, scratch_dir(t.spark, "profile-days"), ["brand", "id_space"], "profile_id")
+    rows = accounts.active_mobile_accounts(t.accounts, market()).select(
+        F.upper("brand").alias("brand"), "id_space", "profile_id", F.to_date("created").alias("day")
+    )
+    days.put(rows.where("day < '2020-06-01'"), "day")
+    days.put(rows.where("day >= '2020-05-01'"), "day")
+    counted = [days.counts(*span, "profiles").withColumn("label", F.lit(label)) for label, span in RANGES.items()]
+    return union_all(counted)
+
+
 @query(
     "mart_orders",
     f"""

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from ledgerloom import sinks
 from ledgerloom.functions import nested
 from ledgerloom.functions.status import Lender
 from ledgerloom.plans import catalogue, records
+from ledgerloom.session import scratch_dir
 from ledgerloom.sources import scan_records, scan_wide_rows
 from registry.core import Tables, query
 
@@ -126,6 +128,40 @@ def _(t: Tables):
     return left.select("order_id", F.col("doc.person_info.iin").alias("iin"))
 
 
+LOAN = nested.FlattenSpec(
+    schema=PERIOD.schema,
+    columns=PERIOD.columns,
+    required=(
+        "doc.person_info.iin is not null",
+        "doc.person_info.financing_info.period is not null",
+        "doc.person_info.financing_info.period > 6",
+    ),
+)
+
+
+@query(
+    "required_fields_counts",
+    """
+    SELECT CASE WHEN iin IS NULL THEN 'doc.person_info.iin is not null'
+            WHEN period IS NULL THEN 'doc.person_info.financing_info.period is not null'
+            WHEN period <= 6 THEN 'doc.person_info.financing_info.period > 6' ELSE 'accepted' END AS outcome,
+        count(*) AS documents, count(DISTINCT order_id) AS orders
+    FROM (SELECT order_id, loan_request ->> '$.person_info.iin' AS iin,
+        cast(loan_request ->> '$.person_info.financing_info.period' AS INT) AS period FROM loan_rows)
+    GROUP BY 1
+    """,
+)
+def _(t: Tables):
+    """Documents routed in one pass: counts of the observation beside those of the stored slices."""
+    target = scratch_dir(t.spark, "routed")
+    seen = sinks.write_routed(scan_wide_rows(t.loan_rows, "loan_request", LOAN.schema), LOAN, target)
+    accepted, rejects = sinks.read_routed(t.spark, LOAN, target)
+    stored = accepted.select("order_id", F.lit(nested.ACCEPTED).alias("outcome")).unionByName(rejects.select("order_id", "outcome"))
+    orders = stored.groupBy("outcome").agg(F.count_distinct("order_id").alias("orders"))
+    counts = t.spark.createDataFrame([(k, n) for k, n in seen.items() if n], "outcome string, documents long")
+    return counts.join(orders, "outcome")
+
+
 @query(
     "nested_flatten",
     """

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import braced_list, level
 from ledgerloom.functions.times import local_time
-from ledgerloom.operators import aggregates, joins, latest, ordering, unions
+from ledgerloom.operators import aggregates, incremental, joins, latest, ordering, unions
+from ledgerloom.session import scratch_dir
 from registry.core import Tables, query
 
 LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -73,12 +74,15 @@ def _(t: Tables):
     """,
 )
 def _(t: Tables):
+    """Levels are looked up once per distinct path; items take the titles of theirs."""
     parts = braced_list(F.col("categories_array"))
-    items = t.nomenclature.select("id", *[level(parts, k).alias(f"k{k}") for k in range(1, 5)])
+    paths = t.nomenclature.select("categories_array").distinct()
+    paths = paths.select("categories_array", *[level(parts, k).alias(f"k{k}") for k in range(1, 5)])
     dim = t.categories.withColumnRenamed("id", "category_id")
     levels = {f"k{k}": f"cat{k}" for k in range(1, 5)}
-    looked_up = joins.lookup_levels(items, levels, dim, "category_id", "title")
-    return looked_up.drop(*levels)
+    titles = joins.lookup_levels(paths, levels, dim, "category_id", "title", row_key="categories_array")
+    items = t.nomenclature.select("id", "categories_array")
+    return items.join(titles, "categories_array", "left").select("id", *levels.values())
 
 
 @query(
@@ -381,7 +385,6 @@ def _(t: Tables):
         ["user_id"],
         [F.col("ts").asc(), F.col("event_id").asc()],
         "num",
-        split_by=F.date_trunc("hour", "ts"),
     )
     return numbered.select("event_id", "user_id", "num")
 
@@ -498,3 +501,27 @@ def _(t: Tables):
 def _(t: Tables):
     day = F.to_date(local_time(F.col("ts")))
     return t.events.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "latest_incremental",
+    """
+    SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(event_type, (ts, event_id)) AS event_type,
+        strftime(max(ts) FILTER (event_type <> 'purchase'), '%Y-%m-%d %H:%M:%S') AS last_other
+    FROM events GROUP BY user_id
+    """,
+)
+def _(t: Tables):
+    """Latest event and last other status per user from a state that took three batches, the
+    middle days last; each batch is delivered twice."""
+    state = incremental.LatestState(
+        t.spark, scratch_dir(t.spark, "latest-state"), ["user_id"], "event_type", [F.col("ts").desc(), F.col("event_id").desc()], buckets=16
+    )
+    rows = t.events.select("user_id", "event_type", "ts", "event_id")
+    days = F.dayofmonth("ts")
+    for name, part in (("first", days <= 10), ("last", days > 20), ("late", (days > 10) & (days <= 20))):
+        for _run in range(2):
+            state.merge(rows.where(part), name)
+    others = state.last_other("ts", "purchase")
+    joined = state.latest().join(others, "user_id", "left")
+    return joined.select("user_id", "event_id", "event_type", "last_other")

@@ -33,7 +33,7 @@ def _(t: Tables):
     target = scratch_dir(t.spark, "landed-pages")
     source = F.struct("url", "html").alias("_source")
     landed = t.pages.select(F.col("page_id").cast("string").alias("_id"), source)
-    sinks.write_full_refresh(landed, target, "json")
+    sinks.write_folder(landed, target, "json")
     schema = "_id string, _source struct<url string, html string, lang string>"
     return scan_documents(t.spark, target, schema).select(
         F.col("_id").alias("id"),
@@ -57,7 +57,7 @@ def _(t: Tables):
         landed = getattr(t, table).select(
             F.col(key).cast("string").alias("_id"), F.struct(F.col(name).alias("name")).alias("_source")
         )
-        sinks.write_full_refresh(landed, f"{base}/desk_nomen_{table}", "json")
+        sinks.write_folder(landed, f"{base}/desk_nomen_{table}", "json")
     schema = "_id string, _source struct<name string>"
     documents = scan_documents(t.spark, f"{base}/desk_nomen_*", schema, origin="file")
     return documents.select(
@@ -72,7 +72,7 @@ def _(t: Tables):
     target = scratch_dir(t.spark, "full-refresh")
     sinks.write_full_refresh(t.nation, target)
     sinks.write_full_refresh(t.nation, target)
-    return t.spark.read.parquet(target)
+    return sinks.read_table(t.spark, target)
 
 
 @query("sink_append", "SELECT r_regionkey, r_name FROM region UNION ALL SELECT r_regionkey, r_name FROM region")
@@ -80,7 +80,22 @@ def _(t: Tables):
     target = scratch_dir(t.spark, "append")
     sinks.write_append(t.region, target)
     sinks.write_append(t.region, target)
-    return t.spark.read.parquet(target)
+    return sinks.read_table(t.spark, target)
+
+
+@query(
+    "append_once",
+    "SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events",
+)
+def _(t: Tables):
+    """Events landed week by week; each batch is delivered twice, the second time without effect."""
+    target = scratch_dir(t.spark, "append-once")
+    rows = t.events.select("event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.weekofyear("ts").alias("week"))
+    weeks = sorted(r.week for r in rows.select("week").distinct().collect())
+    for week in weeks:
+        for _run in range(2):
+            sinks.write_append(rows.where(F.col("week") == week).drop("week"), target, batch=f"week-{week}")
+    return sinks.read_table(t.spark, target)
 
 
 @query(
@@ -94,7 +109,7 @@ def _(t: Tables):
     targets = [scratch_dir(t.spark, f"fan-out-{i}") for i in (1, 2)]
     sinks.write_fan_out(t.spark, t.supplier.withColumn("s_acctbal", F.round("s_acctbal", 2)), targets)
     return union_all(
-        [t.spark.read.parquet(path).withColumn("copy", F.lit(i)) for i, path in enumerate(targets, 1)]
+        [sinks.read_table(t.spark, path).withColumn("copy", F.lit(i)) for i, path in enumerate(targets, 1)]
     )
 
 
@@ -102,7 +117,7 @@ def _(t: Tables):
 def _(t: Tables):
     target = scratch_dir(t.spark, "copy")
     sinks.copy_table(t.spark, f"{t.directory}/nation.parquet", target, "parquet", "json", ["n_nationkey", "n_name"])
-    return t.spark.read.schema("n_nationkey long, n_name string").json(target)
+    return sinks.read_table(t.spark, target).withColumn("n_nationkey", F.col("n_nationkey").cast("long"))
 
 
 @query(
@@ -168,4 +183,4 @@ def _(t: Tables):
     today = history.where(F.col("dates") == F.lit(DAY)).select((F.col("sessions") + 5).alias("sessions"))
     for _run in range(2):
         sinks.write_date_slice(today, target, "dates", DAY)
-    return t.spark.read.schema("sessions long, dates date").parquet(target)
+    return sinks.read_table(t.spark, target)

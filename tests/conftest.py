@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
         "tests",
         master="local[8]",
         **{
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -60,14 +60,14 @@ def test_small_dimension_is_broadcast_and_large_one_is_not(spark):
     t = Tables(spark, SF_DIR)
     items = t.part.select("p_partkey", F.col("p_brand").alias("k1"), F.col("p_type").alias("k2"))
     dim = t.part.select(F.col("p_brand").alias("id"), F.col("p_type").alias("title")).distinct()
-    build = lambda: lookup_levels(items, {"k1": "c1", "k2": "c2"}, dim, "id", "title")
-    assert plan(build()).count("BroadcastHashJoin") == 2
+    build = lambda: lookup_levels(items, {"k1": "c1", "k2": "c2"}, dim, "id", "title", "p_partkey")
+    assert plan(build()).count("BroadcastHashJoin") == 1
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(build())
         assert "BroadcastHashJoin" not in text
-        assert text.count("SortMergeJoin") == 2
+        assert text.count("SortMergeJoin") == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -94,24 +94,66 @@ def tight_skew_limits(spark):
             spark.conf.set(key, value)
 
 
-def test_hot_right_side_is_split(spark, tight_skew_limits):
-    """A third of the steps belong to one process: the join by parts splits it,
-    the plain left join cannot."""
+def test_hot_right_side_is_cut_into_parts(spark, tight_skew_limits):
+    """A third of the steps belong to one process: the join by parts deals them to
+    several tasks, the plain left join cannot."""
     key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000)
     steps = spark.range(0, 60000, 1, 8).select(
         key.alias("proc"), F.sha2(F.col("id").cast("string"), 256).alias("payload")
     )
     processes = spark.range(0, 6000, 1, 4).select(F.col("id").alias("pid"))
 
-    joined = left_join_by_parts(processes, steps, "pid", "proc")
-    joined.collect()
-    assert "skew=true" in plan(joined)
+    def most_in_a_task(df):
+        return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+    joined = left_join_by_parts(processes, steps, "pid", "proc", part_rows=2000)
     plain = processes.join(steps, F.col("pid") == F.col("proc"), "left")
-    plain.collect()
-    assert "skew=true" not in plan(plain)
+    assert most_in_a_task(joined) < 16000 < 20000 <= most_in_a_task(plain)
     assert joined.count() == plain.count()
 
 
+def test_outer_join_reads_each_wide_input_once(spark):
+    """The keys are counted by a scan of the key column alone."""
+    t = Tables(spark, SF_DIR)
+    text = plan(left_join_by_parts(t.customer, t.orders, "c_custkey", "o_custkey"))
+    wide = [line for line in text.splitlines() if "FileScan" in line and line.count("#") > 3]
+    assert len(wide) == 2
+
+
+def exchanges(spark, name):
+    return plan(QUERIES[name](spark, SF_DIR)).count("Exchange hashpartitioning")
+
+
+def test_level_lookups_are_one_join(spark):
+    """Five levels; the paths are dealt once, to make them distinct."""
+    text = plan(QUERIES["category_titles"](spark, SF_DIR))
+    assert sum("Join" in line and "LeftOuter" in line for line in text.splitlines()) == 1
+    assert text.count("Exchange hashpartitioning(categories_array") == 1
+
+
+def test_detail_counts_are_dealt_once(spark):
+    """Of the six exchanges, one belongs to the derived categories table."""
+    assert exchanges(spark, "mart_catalog_counts_detail") <= 6
+
+
+def test_rejects_are_stored_in_the_pass_that_stores_rows(spark, tmp_path):
+    """One job reads the input: the counts come from its observation."""
+    from ledgerloom import sinks
+    from ledgerloom.functions import nested
+    from registry.nested import LOAN
+
+    rows = Tables(spark, SF_DIR).loan_rows.withColumn("doc", F.from_json("loan_request", LOAN.schema)).drop("loan_request")
+    routed = nested.route(rows, LOAN)
+    assert plan(routed).count("FileScan") == 1
+    seen = sinks.write_routed(rows, LOAN, str(tmp_path / "t"))
+    accepted, rejects = sinks.read_routed(spark, LOAN, str(tmp_path / "t"))
+    assert set(seen) == {"accepted", *LOAN.required}
+    assert accepted.count() == seen["accepted"] == nested.flatten(rows, LOAN).count() > 0
+    assert rejects.count() == sum(seen.values()) - seen["accepted"] == nested.rejected(rows, LOAN).count() > 0
+    first = rejects.first()
+    assert "person_info" in first.rejected_document and first.outcome in LOAN.required
+
+
 def test_latest_rows_travel_once_per_key_and_partition(spark):
     """With one key for all rows the limit stands below the exchange too."""
     df = spark.range(0, 10000, 1, 8).select((F.col("id") % 1).alias("k"), F.col("id"))

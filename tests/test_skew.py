@@ -10,7 +10,7 @@ from ledgerloom.operators.joins import (
     full_join_by_parts,
     left_join_by_parts,
 )
-from ledgerloom.operators.latest import latest_per_key, sequence_number
+from ledgerloom.operators.latest import latest_per_key, numbered_rows, sequence_number
 from ledgerloom.operators.timeline import status_sequence
 
 
@@ -67,10 +67,63 @@ def test_joins_by_parts(spark, hot, bag):
         spark.range(1).select(F.lit(None).cast("long").alias("uid"))
     )
     same = F.col("uid") == F.col("user_id")
-    left = left_join_by_parts(users, hot, "uid", "user_id")
-    assert bag(left) == bag(users.join(hot, same, "left"))
-    full = full_join_by_parts(users, hot, "uid", "user_id")
-    assert bag(full) == bag(users.join(hot, same, "full_outer"))
+    # Every user is copied, so that the left side has equal rows too.
+    users = users.unionByName(users.where("uid % 2 = 0")).withColumn("name", F.concat(F.lit("u"), F.col("uid").cast("string")))
+    for part_rows in (1 << 20, 1000, 30, 1):
+        left = left_join_by_parts(users, hot, "uid", "user_id", part_rows)
+        assert bag(left) == bag(users.join(hot, same, "left"))
+        full = full_join_by_parts(users, hot, "uid", "user_id", part_rows)
+        assert bag(full) == bag(users.join(hot, same, "full_outer"))
+        # Hot on the other side, and on both.
+        full = full_join_by_parts(hot, users, "user_id", "uid", part_rows)
+        assert bag(full) == bag(hot.join(users, same, "full_outer"))
+    other = hot.where("event_id < 400").select(F.col("event_id").alias("e2"), F.col("user_id").alias("u2"), F.lit(1).alias("_"))
+    some = hot.where("event_id < 300").select("event_id", "user_id")
+    both = full_join_by_parts(some, other, "user_id", "u2", 20)
+    assert bag(both) == bag(some.join(other, F.col("user_id") == F.col("u2"), "full_outer"))
+
+
+def test_hot_keys_of_outer_joins_spread_over_tasks(spark, hot):
+    """With parts, no task gets more than a few parts of the hot user or of the rows without a user."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    users = spark.range(0, 80).select(F.col("id").alias("uid"))
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "32")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for joined in (left_join_by_parts(users, hot, "uid", "user_id", 100), full_join_by_parts(users, hot, "uid", "user_id", 100)):
+            hottest = joined.where("user_id = 7").groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+            assert hottest[0] < 700 and hottest[1] >= 10
+        alone = joined.where("uid IS NULL AND user_id IS NULL").groupBy(F.spark_partition_id()).count()
+        assert alone.count() >= 20
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_numbers_of_one_key_in_one_hour_come_from_several_tasks(spark):
+    """A third of the rows share a key and an hour, and even the second."""
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        rows = spark.range(0, 9000, 1, 4).select(
+            F.col("id").alias("event_id"),
+            F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 40).alias("user_id"),
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("at"),
+        )
+        order = [F.col("at").desc(), F.col("event_id").asc()]
+        numbered = numbered_rows(rows, ["user_id"], order, "n")
+        plain = rows.withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy(*order)))
+        assert sorted(map(repr, numbered.collect())) == sorted(map(repr, plain.collect()))
+        whole = numbered_rows(rows, [], [F.col("event_id").desc()], "n").collect()
+        assert {(r.event_id, r.n) for r in whole} == {(i, 9000 - i) for i in range(9000)}
+        # Where the hot key's rows lie in the stored table: five partitions of sixteen, at least.
+        dealt = rows.repartitionByRange(F.col("user_id"), *order).withColumn("task", F.spark_partition_id())
+        assert dealt.where("user_id = 7").select("task").distinct().count() >= 5
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
 
 
 def test_conditional_counts(hot, bag):
