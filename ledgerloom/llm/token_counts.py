@@ -48,14 +48,23 @@ _SPLIT = re.compile(SPLIT.replace(r"[^\s\p{L}\p{N}]", r"(?:[^\s\w]|_)").replace(
 _SINGLE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _byte_characters() -> dict[int, int]:
+    """The character by which byte-level models know each byte: itself if it shows, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_AS_CHARACTERS = _byte_characters()
+
+
 class PreTokens:
     """Pre-tokens of texts and the number of tokens in each, for one tokenizer file."""
 
     def __init__(self, definition: str):
         told = json.loads(definition)
         self.library = Tokenizer.from_str(definition)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.model = self.library.model
         cutter = told.get("pre_tokenizer") or {}
         plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex", True) and not cutter.get("add_prefix_space")
         added = told.get("added_tokens") or []
@@ -84,7 +93,8 @@ class PreTokens:
             yield [], special
 
     def length(self, piece: str) -> int:
-        return len(self.library.encode(piece, add_special_tokens=False).ids)
+        """Tokens of one pre-token, by the model alone: its bytes as the model's characters."""
+        return len(self.model.tokenize(piece.encode().decode("latin-1").translate(_AS_CHARACTERS)))
 
 
 class Lengths(dict):
