@@ -16,7 +16,10 @@ DOCUMENTS = [
 ]
 PAGES = [(1, "http://a.b/c", "<p>x</p>"), (2, "http://a.b/d", "<p>x</p>"), (3, None, None), (4, "", ""), (5, "http://a.b/e", "<article>" + LONG + "</article>")]
 TURNS = [(1, 0, "user", "a<|b"), (1, 1, "assistant", None), (1, 1, "assistant", "t\\<|"), (2, None, None, "x"), (2, 0, "assistant", "y"), (2, 0, "assistant", "y")]
+WIDE = [0.25 * i - 3 for i in range(64)]
+VECTORS = [(1, WIDE), (1, WIDE), (2, WIDE[::-1]), (3, WIDE[:-1]), (4, None), (5, WIDE[:-1] + [None]), (6, WIDE[:-1] + [float("nan")]), (None, [0.0] * 64), (7, [])]
 TABLES = {
+    "embeddings": (VECTORS, "vec_id long, embedding array<float>"),
     "documents": (DOCUMENTS, "doc_id long, text string, lang string, source string"),
     "pages": (PAGES, "page_id long, url string, html string"),
     "conversations": (TURNS, "conv_id long, turn long, role string, text string"),
