@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
@@ -160,18 +161,26 @@ def _summary(counts: Counter) -> dict:
 
 
 def frequent(docs: DataFrame, definition: str, text_col: str = "text", size: int = TABLE, summary: int = SUMMARY) -> Counter:
-    """The most frequent pre-tokens of all texts, ``size`` at most, with lower bounds of their counts."""
+    """The most frequent pre-tokens of all texts, ``size`` at most, with lower bounds of their counts.
+
+    Words are counted first, and the frequent ones cut as they are after a space, so
+    that one at the start of a line counts with the others.
+    """
     spark = docs.sparkSession
 
     def seen(batches):
-        pre, counts = PreTokens(definition), Counter()
+        words, counts, pre = Counter(), Counter(), PreTokens(definition)
         for batch in batches:
             for part in slices(batch, "text"):
-                for text in part.column("text").to_pylist():
-                    for pieces, _ in pre.cut(text or ""):
-                        counts.update(pieces if len(text) <= LONGEST or max(map(len, pieces), default=0) <= LONGEST else [p for p in pieces if len(p) <= LONGEST])
-                        if len(counts) > 8 * summary:
-                            counts = reduced(counts, 4 * summary)
+                held = pc.value_counts(pc.ascii_split_whitespace(pc.fill_null(part.column("text"), "")).flatten())
+                held = held.filter(pc.less_equal(pc.utf8_length(held.field("values")), LONGEST))
+                words.update(dict(zip(held.field("values").to_pylist(), held.field("counts").to_pylist(), strict=True)))
+                if len(words) > 8 * summary:
+                    words = reduced(words, 4 * summary)
+        for word, n in words.items():
+            for pieces, _ in pre.cut(f" {word}"):
+                for piece in pieces:
+                    counts[piece] += n
         yield pa.RecordBatch.from_pylist([_summary(reduced(counts, summary))], _SUMMARY_SCHEMA)
 
     def added(rows: Iterable[dict], most: int) -> Counter:

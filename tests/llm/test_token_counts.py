@@ -5,6 +5,7 @@ import sys
 import pytest
 from conftest import SF_DIR
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -73,8 +74,9 @@ def test_odd_rows_and_merged_summaries(spark, monkeypatch):
     docs = spark.createDataFrame([(*r, 5, "z") for r in rows], "doc_id int, text string, n_tokens int, id string").repartition(9)
     got = sorted((tuple(r) for r in token_counts.token_counts(docs, FILE).collect()), key=repr)
     assert got == sorted(((i, len((t or "").encode()), by_library(t)) for i, t in rows), key=repr)
-    common = token_counts.frequent(docs.select("text"), DEFINITION, size=2)
-    assert set(common) <= {"a", " b", "x"} and "a" in common
+    more = docs.select("text").union(docs.select(F.lit("a a a a\nb")))
+    common = token_counts.frequent(more, DEFINITION, size=2)
+    assert set(common) <= {" a", " b", " x", " "} and " a" in common
     assert token_counts.token_counts(docs.limit(0), FILE).count() == 0
 
 
