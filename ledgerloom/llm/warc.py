@@ -3,9 +3,11 @@
 A WARC file compressed as one gzip stream can only be read from its start. The
 normaliser inflates such a stream once, writes every record as a gzip member of
 its own and a sidecar index with the offset and length of each member, so that
-any record can be read alone. Files live in the shared folder; a task streams
-through them and holds one record at a time. Names carry a random part, so a
-task that runs twice leaves a file that nobody lists.
+any record can be read alone. Archives may be of any writer: any version 1 of the
+format, records of all types (copied byte for byte), field names in any case, one
+gzip member or many, or no compression at all. Files live in the shared folder; a
+task streams through them and holds one record at a time. Names carry a random
+part, so a task that runs twice leaves a file that nobody lists.
 """
 
 from __future__ import annotations
@@ -13,9 +15,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -29,6 +33,15 @@ _CHUNK = 1 << 20
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
+#: A field of our own, where the page's URL is not one that a header can hold.
+EXACT_URL = "WARC-X-Page-URL"
+PAGE_ID = "urn:page:"
+
+_UNSAFE = re.compile(r"[\x00-\x20\x7f-\x9f]+")
+_VERSION = re.compile(rb"WARC/1\.\d+\s*$")
+_LENGTH = re.compile(rb"^content-length[ \t]*:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
+_END = re.compile(rb"\r?\n\r?\n")
+_GAP = re.compile(rb"[\r\n]*")
 
 
 def base32_sha1(payload: bytes) -> str:
@@ -43,11 +56,14 @@ def record_bytes(kind: str, page_id, url: str | None, digest: str, size: int, pa
         "WARC-Type": kind,
         "WARC-Record-ID": f"<urn:page:{page_id}>",
         "WARC-Date": DATE,
-        "WARC-Target-URI": json.dumps(url),
         "WARC-Payload-Digest": f"sha1:{digest}",
         "Content-Type": "application/http; msgtype=response",
         "Content-Length": len(block),
     }
+    if url is not None:
+        header["WARC-Target-URI"] = _UNSAFE.sub(lambda m: quote(m[0]), url) or "about:blank"
+        if header["WARC-Target-URI"] != url:
+            header[EXACT_URL] = json.dumps(url)
     if kind == "revisit":
         header["WARC-Profile"] = REVISIT_PROFILE
         header["WARC-Refers-To"] = f"<urn:page:{refers_to}>"
@@ -56,37 +72,79 @@ def record_bytes(kind: str, page_id, url: str | None, digest: str, size: int, pa
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes, int]:
-    """Header fields, block and total length of the record at the start of ``data``."""
-    end = data.index(b"\r\n\r\n")
-    lines = data[:end].decode().split("\r\n")
-    if lines[0].encode() != VERSION:
-        raise ValueError(f"not a record: {lines[0]!r}")
-    header = dict(line.split(": ", 1) for line in lines[1:])
-    size = int(header["Content-Length"])
-    return header, data[end + 4 : end + 4 + size], end + 4 + size + 4
-
-
-def inflated_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
-    """Whole records of a gzip stream, whatever its members, inflated once."""
-    inflate, held, need = zlib.decompressobj(31), bytearray(), 0
+    """Header fields (names in lower case), block and length without the closing lines of the record
+    at the start of ``data``."""
+    end = _END.search(data)
+    if end is None:
+        raise ValueError("not a record: no end of its header")
+    first, *lines = re.split(r"\r?\n", data[: end.start()].decode("utf-8", "replace"))
+    if not _VERSION.match(first.encode()):
+        raise ValueError(f"not a record: {first!r}")
+    header: dict[str, str] = {}
+    name = ""
+    for line in lines:
+        if line[:1] in " \t" and name:
+            header[name] += " " + line.strip()
+            continue
+        name, _, value = line.partition(":")
+        name = name.strip().lower()
+        header.setdefault(name, value.strip())
+    size = int(header["content-length"])
+    block = data[end.end() : end.end() + size]
+    if len(block) < size:
+        raise ValueError("the record is cut off")
+    return header, block, end.end() + size
+
+
+def target_url(header: dict[str, str]) -> str | None:
+    """The URL of a record as text; None if it has none."""
+    if EXACT_URL.lower() in header:
+        return json.loads(header[EXACT_URL.lower()])
+    url = header.get("warc-target-uri")
+    return url[1:-1] if url and url.startswith("<") and url.endswith(">") else url
+
+
+def inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """The bytes of a gzip stream, whatever its members, inflated once; other streams as they are."""
+    inflate, begun, plain = zlib.decompressobj(31), b"", None
     for chunk in chunks:
+        if plain is None:
+            begun += chunk
+            if len(begun) < 2:
+                continue
+            plain, chunk = begun[:2] != b"\x1f\x8b", begun
+        if plain:
+            yield chunk
+            continue
         while chunk:
-            held += inflate.decompress(chunk)
+            yield inflate.decompress(chunk)
             chunk = inflate.unused_data
             if inflate.eof:
-                inflate = zlib.decompressobj(31)
-            while held and len(held) >= need:
-                end = held.find(b"\r\n\r\n")
-                if end < 0:
-                    break
-                fields = bytes(held[:end]).split(b"\r\nContent-Length: ", 1)[1]
-                need = end + 4 + int(fields.split(b"\r\n", 1)[0]) + 4
-                if len(held) < need:
-                    break
-                yield bytes(held[:need])
-                del held[:need]
-                need = 0
-    if held:
+                # Members may be padded with zeros.
+                inflate, chunk = zlib.decompressobj(31), chunk.lstrip(b"\0")
+
+
+def inflated_records(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Whole records, each with its closing lines, one at a time."""
+    held, need = bytearray(), 0
+    for chunk in inflated(chunks):
+        held += chunk
+        while held and len(held) >= need:
+            del held[: _GAP.match(held).end()]
+            end = _END.search(held)
+            if end is None:
+                break
+            size = _LENGTH.search(held, 0, end.start() + 2)
+            if size is None:
+                raise ValueError("a record without a length")
+            need = end.end() + int(size[1])
+            # What closes a record may come with a later chunk, or not at all.
+            if len(held) < need:
+                break
+            yield bytes(held[:need]) + b"\r\n\r\n"
+            del held[:need]
+            need = 0
+    if held.strip(b"\r\n"):
         raise ValueError("the last record is cut off")
 
 
@@ -154,9 +212,9 @@ def _listed(name: str, n: int) -> pa.RecordBatch:
 
 
 def normalise(files: DataFrame, folder: str) -> DataFrame:
-    """Rewrite gzip WARC files (column ``file``) record by record; the list of new files.
+    """Rewrite WARC files (column ``file``) of any writer record by record; the list of new files.
 
-    Each new file ``x`` has a sidecar ``x.idx``: a line of JSON per record with
+    Records of all types are kept byte for byte. Each new file ``x`` has a sidecar ``x.idx``: a line of JSON per record with
     its offset, length, id, type and URL. The list has ``file``, ``index`` and
     ``records``.
     """
@@ -174,7 +232,7 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
                         header, _, _ = parse_record(data)
                         member = zlib.compress(data, 6, 31)
                         out.write(member)
-                        line = {"offset": at, "length": len(member), "id": header["WARC-Record-ID"], "type": header["WARC-Type"], "url": json.loads(header["WARC-Target-URI"])}
+                        line = {"offset": at, "length": len(member), "id": header.get("warc-record-id"), "type": header.get("warc-type"), "url": target_url(header)}
                         index.write(json.dumps(line).encode() + b"\n")
                         at, n = at + len(member), n + 1
                 yield _listed(name, n)
@@ -186,9 +244,14 @@ def normalise(files: DataFrame, folder: str) -> DataFrame:
     return spark.read.parquet(listing).select(path.alias("file"), F.concat(path, F.lit(".idx")).alias("index"), "records")
 
 
+#: Files that one task goes through where there are more files than a few per core.
+TASK_FILES = 8
+
+
 def _spread(files: DataFrame) -> int:
-    """One task per file."""
-    return max(1, files.count())
+    """Tasks for these files: one for each while they are few, then one for several."""
+    n, cores = files.count(), files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(n, max(4 * cores, -(-n // TASK_FILES))))
 
 
 def read_archives(files: DataFrame) -> DataFrame:
@@ -196,10 +259,13 @@ def read_archives(files: DataFrame) -> DataFrame:
 
     Returns ``record_id``, ``url``, ``record_type``, ``payload_bytes`` and
     ``payload_digest`` of the full payload, ``refers_to`` (the id a revisit refers
-    to) and ``payload`` (null for revisits). A response whose payload does not
-    match its digest fails.
+    to), ``payload`` (null for revisits) and ``intact``. The payload of a response is
+    what follows its HTTP header, that of other records the whole block; a revisit
+    has the size and digest that its headers state, null if they do not. ``intact``
+    says whether a payload has the digest of its header, null without one in SHA-1.
+    A record without an id, type or URL has null there.
     """
-    schema = "record_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary"
+    schema = "record_id string, url string, record_type string, payload_bytes long, payload_digest string, refers_to string, payload binary, intact boolean"
 
     def read(batches):
         for batch in batches:
@@ -228,21 +294,28 @@ def _lines(stream) -> Iterator[bytes]:
         yield from whole
 
 
+def _bare(identifier: str | None) -> str | None:
+    """A record's id without its brackets, a page's id without its scheme."""
+    return identifier and identifier.removeprefix("<").removesuffix(">").removeprefix(PAGE_ID)
+
+
 def _row(data: bytes) -> tuple:
     header, block, _ = parse_record(data)
-    http, _, payload = block.partition(b"\r\n\r\n")
-    digest = header["WARC-Payload-Digest"].removeprefix("sha1:")
-    size = int(http.split(b"Content-Length: ")[1].split(b"\r\n")[0])
-    bare = lambda x: x and x.removeprefix("<urn:page:").removesuffix(">")
-    response = header["WARC-Type"] == "response"
-    if response and (len(payload) != size or base32_sha1(payload) != digest):
-        raise ValueError(f"payload of {header['WARC-Record-ID']} does not match its digest")
-    refers = bare(header.get("WARC-Refers-To"))
-    return bare(header["WARC-Record-ID"]), json.loads(header["WARC-Target-URI"]), header["WARC-Type"], size, digest, refers, payload if response else None
+    kind, stated = header.get("warc-type"), header.get("warc-payload-digest")
+    algorithm, _, digest = (stated or "").rpartition(":")
+    http = _END.search(block) if block.startswith(b"HTTP/") else None
+    url, refers = target_url(header), _bare(header.get("warc-refers-to"))
+    if kind == "revisit":
+        size = _LENGTH.search(block, 0, http.start() + 2) if http else None
+        return _bare(header.get("warc-record-id")), url, kind, int(size[1]) if size else None, digest or None, refers, None, None
+    payload = block[http.end() :] if http else block
+    real = base32_sha1(payload)
+    intact = real == digest.upper() if algorithm.lower() == "sha1" and len(digest) == len(real) else None
+    return _bare(header.get("warc-record-id")), url, kind, len(payload), real, refers, payload, intact
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["record_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
+    names = ["record_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload", "intact"]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.bool_()]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
