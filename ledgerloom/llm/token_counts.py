@@ -172,8 +172,11 @@ def frequent(docs: DataFrame, definition: str, text_col: str = "text", size: int
         words, counts, pre = Counter(), Counter(), PreTokens(definition)
         for batch in batches:
             for part in slices(batch, "text"):
-                held = pc.value_counts(pc.ascii_split_whitespace(pc.fill_null(part.column("text"), "")).flatten())
-                held = held.filter(pc.less_equal(pc.utf8_length(held.field("values")), LONGEST))
+                every = pc.ascii_split_whitespace(pc.fill_null(part.column("text"), "")).flatten()
+                held = pc.value_counts(every)
+                # What is too rare in a slice cannot add up to a frequent word.
+                often = pc.greater_equal(held.field("counts"), len(every) // (8 * summary))
+                held = held.filter(pc.and_(often, pc.less_equal(pc.utf8_length(held.field("values")), LONGEST)))
                 words.update(dict(zip(held.field("values").to_pylist(), held.field("counts").to_pylist(), strict=True)))
                 if len(words) > 8 * summary:
                     words = reduced(words, 4 * summary)
