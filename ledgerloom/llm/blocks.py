@@ -35,7 +35,7 @@ def write_blocks(docs: DataFrame, text_col: str, block_bytes: int = BLOCK_BYTES)
 
     def pack(batches):
         for batch in batches:
-            for part in slices(batch, text_col, block_bytes):
+            for part in slices(batch, text_col, limit=block_bytes):
                 words = len(split_words(part.column(text_col)).start)
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
@@ -80,10 +80,18 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, np.uint64), dtype=np.uint64)
 
 
-def shard_bounds(keys: np.ndarray, shards: int) -> np.ndarray:
-    """Where each shard's keys begin in sorted keys: shards are equal ranges of the key space."""
-    edges = np.array([(s << 64) // shards for s in range(1, shards)], np.uint64)
-    return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
+def shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of each key: shards are equal ranges of the key space, so sorted keys have sorted shards."""
+    return (((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)).astype(np.int64)
+
+
+def shard_cuts(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shards that sorted keys lie in, and where the keys of each begin (and the last end).
+
+    The work is that of the keys, however many shards there are.
+    """
+    used, begin = np.unique(shards_of(keys, shards), return_index=True)
+    return used, np.append(begin, len(keys))
 
 
 def answered(requests: DataFrame, answer: Callable[..., Iterator], schema: str) -> DataFrame:

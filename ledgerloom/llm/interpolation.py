@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.blocks import answered, pack, pack_sorted, rows_of, shard_bounds, shard_count, summed, unpack, unpack_sorted, write_blocks
+from ledgerloom.llm.blocks import answered, pack, pack_sorted, rows_of, shard_cuts, shard_count, summed, unpack, unpack_sorted, write_blocks
 from ledgerloom.llm.words import joined, mixed, split_words, widened, word_hashes
 from ledgerloom.session import scratch_dir
 
@@ -88,15 +88,15 @@ def _answers(blocks: DataFrame, order: int, shards: int) -> DataFrame:
                 tokens = _Tokens(rows_of(payload.as_buffer()), order)
                 for k in range(order):
                     keys, kept, deleted = tokens.asked(k)
-                    cuts = shard_bounds(keys, shards)
-                    used = np.flatnonzero(np.diff(cuts))
+                    used, cuts = shard_cuts(keys, shards)
+                    spans = list(zip(cuts[:-1], cuts[1:], strict=True))
                     counts = np.stack([kept, deleted], axis=1).astype(np.uint32)
                     columns = [
                         pa.array(np.full(len(used), k, np.int32)),
                         pa.array(used.astype(np.int32)),
                         pa.array([block] * len(used), pa.int64()),
-                        pa.array([pack_sorted(keys[cuts[s] : cuts[s + 1]]) for s in used], pa.binary()),
-                        pa.array([pack(counts[cuts[s] : cuts[s + 1]].reshape(-1)) for s in used], pa.binary()),
+                        pa.array([pack_sorted(keys[a:b]) for a, b in spans], pa.binary()),
+                        pa.array([pack(counts[a:b].reshape(-1)) for a, b in spans], pa.binary()),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["space", "shard", "block", "keys", "counts"])
 
@@ -133,11 +133,12 @@ def _counted(payload, told, order: int, shards: int) -> tuple[_Tokens, pa.Record
     grams = np.zeros((order, len(tokens.text), 2), np.int64)
     for k in range(order):
         keys, _, _ = tokens.asked(k)
-        cuts = shard_bounds(keys, shards)
+        used, cuts = shard_cuts(keys, shards)
         totals = np.zeros((len(keys), 2), np.int64)
         for part in told:
             if part["space"] == k:
-                a, b = cuts[part["shard"]], cuts[part["shard"] + 1]
+                place = np.searchsorted(used, part["shard"])
+                a, b = cuts[place], cuts[place + 1]
                 totals[a:b] = unpack(part["totals"], np.uint64).astype(np.int64).reshape(-1, 2)
         at = tokens.whole[k] if k + 1 < order else tokens.token
         grams[k, at] = totals[np.searchsorted(keys, tokens.grams[k][at])]

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.blocks import answered, pack, pack_sorted, rows_of, shard_bounds, shard_count, summed, unpack, unpack_sorted, write_blocks
+from ledgerloom.llm.blocks import answered, pack, pack_sorted, rows_of, shard_cuts, shard_count, summed, unpack, unpack_sorted, write_blocks
 from ledgerloom.llm.words import Words, spaced, split_words, widened, window_hashes, window_minima, word_hashes
 from ledgerloom.session import scratch_dir
 
@@ -106,14 +106,14 @@ def _repeat_bits(blocks: DataFrame, phrases: DataFrame, text_col: str, window: i
                 words = split_words(rows_of(payload.as_buffer()).column(text_col))
                 _, hashes = _candidates(words, mine.as_py(), window, size)
                 keys, counts = np.unique(hashes, return_counts=True)
-                cuts = shard_bounds(keys, shards)
-                used = np.flatnonzero(np.diff(cuts))
+                used, cuts = shard_cuts(keys, shards)
+                spans = list(zip(cuts[:-1], cuts[1:], strict=True))
                 columns = [
                     pa.array(np.zeros(len(used), np.int32)),
                     pa.array(used.astype(np.int32)),
                     pa.array([block.as_py()] * len(used), pa.int64()),
-                    pa.array([pack_sorted(keys[cuts[s] : cuts[s + 1]]) for s in used], pa.binary()),
-                    pa.array([pack(counts[cuts[s] : cuts[s + 1]].astype(np.uint32)) for s in used], pa.binary()),
+                    pa.array([pack_sorted(keys[a:b]) for a, b in spans], pa.binary()),
+                    pa.array([pack(counts[a:b].astype(np.uint32)) for a, b in spans], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["space", "shard", "block", "keys", "counts"])
 
@@ -162,10 +162,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
                 if told:
                     starts, hashes = _candidates(words, mine.as_py(), window, phrase)
                     keys = np.unique(hashes)
-                    cuts = shard_bounds(keys, shards)
+                    used, cuts = shard_cuts(keys, shards)
                     repeat = np.zeros(len(keys), bool)
                     for part in told:
-                        a, b = cuts[part["shard"]], cuts[part["shard"] + 1]
+                        place = np.searchsorted(used, part["shard"])
+                        a, b = cuts[place], cuts[place + 1]
                         repeat[a:b] = np.unpackbits(np.frombuffer(part["bits"], np.uint8), count=b - a)
                     first = starts[repeat[np.searchsorted(keys, hashes)]]
                     np.add.at(gone, first, 1)
