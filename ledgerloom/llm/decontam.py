@@ -15,7 +15,11 @@ hangs on what stands before a text. So all texts are read twice: with names
 within sentences only, and with each capitalised word as a name.
 
 Documents are only read once: a bitmap of fixed size with the hashes of all
-benchmark windows lets through the windows that can match.
+benchmark windows lets through the windows that can match. Items share sentences
+("answer the multiple choice question"), and a document that holds such a sentence
+is no candidate for all of them: an item's rarest windows, without which too little
+of it is left, name the candidates, and only for these are all windows matched.
+Items of equal text are one item until the end.
 """
 
 from __future__ import annotations
@@ -28,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.words import Words, slices, split_words, widened, window_hashes, word_hashes
+from ledgerloom.session import scratch_dir
 
 WINDOW = 8
 #: A template window with fewer literal words is matched with its values.
@@ -160,6 +165,32 @@ def _items(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> DataF
     return picked.mapInArrow(cut, schema)
 
 
+def _anchors(items: DataFrame, percent: int) -> DataFrame:
+    """The windows of each item and reading that name its candidates.
+
+    Windows are ranked by the number of items that hold them. The common ones at the
+    end stay out as long as they cover less than ``percent`` of the item's tokens
+    together: who matches no other window does not hold the item.
+    """
+    held = items.groupBy("hash", "size", "anywhere").agg(F.count_distinct("item_id").alias("items"))
+    ranked = items.select("hash", "size", "anywhere", "item_id", "n_tokens", "item_at").join(held, ["hash", "size", "anywhere"])
+
+    def choose(table):
+        """Windows of one item and reading."""
+        rows = table.sort_by([("items", "ascending"), ("item_at", "ascending")]).to_pylist()
+        left: set[int] = set()
+        keep = 0
+        for i in range(len(rows) - 1, -1, -1):
+            left |= set(range(rows[i]["item_at"], rows[i]["item_at"] + rows[i]["size"]))
+            if 100 * len(left) >= percent * rows[i]["n_tokens"]:
+                keep = i + 1
+                break
+        return pa.Table.from_pylist([{c: r[c] for c in anchor.names} for r in rows[:keep]], table.select(anchor.names).schema)
+
+    anchor = items.select("hash", "size", "anywhere", "item_id").schema
+    return ranked.groupBy("item_id", "anywhere").applyInArrow(choose, anchor)
+
+
 def hash_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     """One bit per value of ``hash`` modulo the bitmap's size; at most 2 ** (bits - 6) rows reach the driver."""
     bit = F.col("hash").bitwiseAND(F.lit((1 << bits) - 1))
@@ -200,10 +231,19 @@ def contaminated(
     document that holds an item several times, or repeated rows, give one row;
     rows of one id are aligned each for itself, and what they cover is put together.
     Null and empty texts hold nothing, items without words are in nothing; rows
-    with a null id are left out. Other columns are ignored; empty tables give none.
+    with a null id are left out; an item id with several texts is held with any of them. Other columns are ignored; empty tables give none.
     """
     spark = docs.sparkSession
-    items = _items(benchmark, size, item_col, item_text_col).where("item_id IS NOT NULL")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        where = scratch_dir(spark, name)
+        df.write.parquet(where)
+        return spark.read.parquet(where)
+
+    named = benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+    named = named.where("item_id IS NOT NULL AND text IS NOT NULL").withColumn("item", F.md5(F.col("text").cast("binary")))
+    alike = stored(named.select("item", "item_id").distinct(), "alike")
+    items = stored(_items(named.groupBy("item").agg(F.any_value("text").alias("text")), size, "item", "text"), "items")
     held = spark.sparkContext.broadcast(hash_bitmap(items))
     readings = [tuple(r) for r in items.select("size", "anywhere").distinct().collect()]
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
@@ -213,7 +253,7 @@ def contaminated(
 
     def find(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", limit=2 << 20):
                 for width, anywhere in readings:
                     h, at, text, tokens = windows(part.column(1), width, anywhere)
                     hit = np.flatnonzero(held.value[h & np.uint64((1 << BITMAP_BITS) - 1)])
@@ -230,7 +270,10 @@ def contaminated(
                         ]
                         yield pa.RecordBatch.from_arrays(columns, schema.fieldNames())
 
-    hits = picked.mapInArrow(find, schema).join(items, ["hash", "size", "anywhere"])
+    found = stored(picked.mapInArrow(find, schema), "found")
+    keys = ["hash", "size", "anywhere"]
+    asked = found.select("id", *keys).join(_anchors(items, percent), keys).select("id", "anywhere", "size", "item_id").distinct()
+    hits = found.join(asked, ["id", "anywhere", "size"]).join(items, [*keys, "item_id"])
     hits = hits.where(F.size("doc_slots") == F.size("item_slots"))
     along = hits.groupBy("id", "row", "item_id", "anywhere", "n_tokens", "size", (F.col("doc_at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct(F.col("item_at").alias("at"), F.col("item_slots").alias("item"), F.col("doc_slots").alias("doc"))).alias("windows")
@@ -255,7 +298,8 @@ def contaminated(
     # Of both readings that which covers more counts.
     order = [(F.col("n_covered") / F.col("n_tokens")).alias("share"), (~F.col("anywhere")).alias("within")]
     best = F.max(F.struct(*order, "n_tokens", "n_covered", "reworded")).alias("best")
-    out = out.where(100 * F.col("n_covered") >= percent * F.col("n_tokens")).groupBy("id", "item_id").agg(best)
+    out = out.where(100 * F.col("n_covered") >= percent * F.col("n_tokens"))
+    out = out.withColumnRenamed("item_id", "item").join(alike, "item").groupBy("id", "item_id").agg(best)
     return out.select(
         F.col("id").alias(id_col),
         F.col("item_id").alias(item_col),

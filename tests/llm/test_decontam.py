@@ -1,7 +1,10 @@
 """Template windows against a plain version on whole tables, and reworded items."""
 
+import random
 import re
+from collections import Counter
 
+import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
@@ -10,62 +13,68 @@ from ledgerloom.llm import decontam
 ITEM = "A train leaves the old station near Boston and travels 60 miles in 2 hours, then Alice drives 60 miles more. How far did Alice travel in all on that day?"
 
 
-def plain_tokens(text):
-    """(template, value) of each token of a text."""
-    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    out, fresh, before = [], True, None
-    for raw in words:
-        word = raw
-        punctuation = r"[!-/:-@\[-`{-~]".replace("%", "")
-        for _ in range(8):
-            if len(word.encode()) > 1 and re.match(punctuation, word) and word[0] != "%":
-                word = word[1:]
-            if len(word.encode()) > 1 and re.match(punctuation, word[-1]) and word[-1] != "%":
-                word = word[:-1]
+def plain_tokens(text, anywhere):
+    """(template, value) of each token of a text, by one of the two readings."""
+    out, fresh, before, last, end = [], True, None, None, 0
+    for m in re.finditer(r"[^\x20\x09-\x0D]+", text or ""):
+        raw = word = m[0]
+        if anywhere and last is not None:
+            fresh = fresh or bool(re.match(r"[!-/:-@\[-`{-~]", last[-1]) and last[-1] != "%") or bool(re.search(r"[\r\n]", text[end : m.start()]))
+        while len(word.encode()) > 1 and re.match(r"[!-$&-/:-@\[-`{-~]", word[0]):
+            word = word[1:]
+        while len(word.encode()) > 1 and re.match(r"[!-$&-/:-@\[-`{-~]", word[-1]):
+            word = word[:-1]
         low = word.lower()
         kind = "word"
         if re.match("[0-9]", word):
             kind = "number"
         elif before == "number" and low in decontam.UNITS:
             kind = "unit"
-        elif re.match("[A-ZÀ-ÖØ-Þ]", word) and not fresh and len(word) > 1 and not re.match(".[A-ZÀ-ÖØ-Þ]", word):
+        elif re.match("[A-ZÀ-ÖØ-Þ]", word) and (anywhere or not fresh) and len(word) > 1 and not re.match(".[A-ZÀ-ÖØ-Þ]", word):
             kind = "name"
-        if not (kind == "name" and before == "name"):
+        if not (kind == "name" and before == "name" and not fresh):
             out.append((low if kind == "word" else "<" + kind, low))
-        before, fresh = kind, raw[-1] in ".!?:;"
+        before, fresh, last, end = kind, raw[-1] in ".!?:;", raw, m.end()
     return out
 
 
 def plain(docs, items, size=8, percent=80):
-    def windows(text, width):
-        t = plain_tokens(text)
+    """Every window of every text against every window of every item, windows judged one by one."""
+
+    def windows(text, width, anywhere):
+        t = plain_tokens(text, anywhere)
         for i in range(len(t) - width + 1):
             w = t[i : i + width]
             literal = sum(not x.startswith("<") or x == v for x, v in w)
             key = tuple(x for x, _ in w) if literal >= min(4, width) else ("exact", *[v for _, v in w])
             yield i, key, tuple(v for x, v in w if x.startswith("<") and x != v)
 
-    index, length = {}, {}
-    for item, text in items:
-        length[item] = len(plain_tokens(text))
-        width = min(size, length[item])
-        for i, key, slots in windows(text, width) if width else ():
-            index.setdefault(key, []).append((item, i, width, slots))
     out = set()
-    for doc, text in docs:
-        along = {}
-        for width in {w for v in index.values() for _, _, w, _ in v}:
-            for at, key, slots in windows(text, width):
-                for item, i, w, theirs in index.get(key, ()):
-                    if w == width and len(slots) == len(theirs):
-                        group = along.setdefault((item, at - i), (set(), set()))
-                        group[0].update(range(i, i + width))
-                        group[1].update(zip(theirs, slots))
-        covered = {}
-        for (item, _), (tokens, slots) in along.items():
-            if len({a for a, _ in slots}) == len(slots):
-                covered.setdefault(item, set()).update(tokens)
-        out |= {(doc, i) for i, tokens in covered.items() if 100 * len(tokens) >= percent * length[i]}
+    for anywhere in (False, True):
+        index, length = {}, {}
+        for item, text in items:
+            length[item] = len(plain_tokens(text, anywhere))
+            width = min(size, length[item])
+            for i, key, slots in windows(text, width, anywhere) if width else ():
+                index.setdefault((width, key), []).append((item, i, slots))
+        for doc, text in docs:
+            along = {}
+            for width in {w for w, _ in index}:
+                for at, key, slots in windows(text, width, anywhere):
+                    for item, i, theirs in index.get((width, key), ()):
+                        if len(slots) == len(theirs):
+                            along.setdefault((item, at - i), set()).add((i, width, theirs, slots))
+            covered = {}
+            for (item, _), found in along.items():
+                votes = {}
+                for _, _, theirs, slots in found:
+                    for a, b in set(zip(theirs, slots)):
+                        votes.setdefault(a, Counter())[b] += 1
+                for i, width, theirs, slots in found:
+                    # What a value stands for in most windows; the driver's hashes only break ties.
+                    if all(votes[a][b] == max(votes[a].values()) and (votes[a][a] < max(votes[a].values()) or a == b) for a, b in zip(theirs, slots)):
+                        covered.setdefault(item, set()).update(range(i, i + width))
+            out |= {(doc, i) for i, tokens in covered.items() if 100 * len(tokens) >= percent * length[i]}
     return out
 
 
@@ -118,3 +127,69 @@ def test_names_at_the_start_of_sentences(spark):
     got = {(r.doc_id, r.item_id): r.reworded for r in decontam.contaminated(docs, items).collect()}
     n = len(heads)
     assert got == {(0, 8): True} | {(10 + i, 9): False for i in range(n)} | {(20 + i, 8): False for i in range(n)}
+
+
+WORDS = [f"w{i}" for i in range(400)]
+
+
+def made(seed):
+    """Items that share sentences, and documents that hold some of them altered in known ways."""
+    rng = random.Random(seed)
+    common = " ".join(rng.choice(WORDS) for _ in range(12))
+    items = []
+    for i in range(40):
+        own = [rng.choice(WORDS) for _ in range(rng.randrange(6, 40))]
+        own[2:2] = [str(rng.randrange(100)), "miles", "and", rng.choice(["Alice", "Bob", "Eve"])]
+        items.append((i, rng.choice([f"{common} ", ""]) + " ".join(own)))
+    items += [(100, items[0][1]), (101, items[1][1]), (102, common)]
+    docs = []
+    for d in range(150):
+        words = [rng.choice(WORDS) for _ in range(rng.randrange(30))]
+        for _ in range(rng.randrange(3)):
+            held = rng.choice(items)[1]
+            kind = rng.randrange(5)
+            if kind == 1:
+                held = re.sub(r"\b\d+\b", lambda m: str(int(m[0]) + 7), held).replace("Alice", "Carol")
+            elif kind == 2:
+                held = held.split()
+                held[rng.randrange(len(held))] = "changed"
+                held = " ".join(held)
+            elif kind == 3:
+                held = held[: rng.randrange(len(held))]
+            elif kind == 4:
+                held = common
+            words[rng.randrange(len(words) + 1) :][:0] = held.split()
+            words = words + held.split()
+        docs.append((d, " ".join(words)))
+    return docs, items
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_shared_sentences_and_edits_against_plain_version(spark, seed):
+    docs, items = made(seed)
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == plain(docs, items)
+    assert len({r.item_id for r in got}) > 20 and any(r.reworded for r in got)
+
+
+def test_a_sentence_of_all_items_makes_no_pairs(spark):
+    """300 items and 300 documents share a sentence: candidates are those whose own words match."""
+    rng = random.Random(1)
+    common = "answer the multiple choice question below with one letter of the four that are given"
+    own = [" ".join(rng.choice(WORDS) for _ in range(14)) for _ in range(300)]
+    items = spark.createDataFrame([(i, f"{common} {x}") for i, x in enumerate(own)], "item_id long, text string")
+    keyed = items.withColumn("item", F.col("item_id").cast("string"))
+    cut = decontam._items(keyed, 8, "item", "text")
+    anchors = decontam._anchors(cut, 80)
+    held = anchors.groupBy("hash", "size", "anywhere").agg(F.count_distinct("item_id").alias("n"))
+    assert held.agg(F.max("n")).first()[0] <= 2 and anchors.select("item_id").distinct().count() == 300
+    docs = [(i, f"{common} {'x ' * 30}") for i in range(300)] + [(1000 + i, f"so {common} {own[i]}") for i in range(20)]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1000 + i, i) for i in range(20)}
+
+
+def test_items_of_equal_text_are_all_named(spark):
+    items = spark.createDataFrame([(i, ITEM) for i in range(50)] + [(50, ITEM + " More words stand here than in the other one")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "so " + ITEM)], "doc_id long, text string")
+    got = decontam.contaminated(docs, items).collect()
+    assert sorted(r.item_id for r in got) == list(range(50))
