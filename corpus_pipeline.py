@@ -5,6 +5,8 @@ Each stage is written to the shared folder before the next one reads it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerloom.llm import decontam, langmix, minmax, mixing, phrases
@@ -29,10 +31,15 @@ def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     rows are reduced before they are shuffled, and null ids are never shuffled.
     """
     gone = minmax.near_duplicates(docs, size=5, percent=80).where("NOT kept").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL")
+    # Few ids are repeated; only their rows are put in order.
+    repeated = named.groupBy("doc_id").agg(F.count("*").alias("rows_")).where("rows_ > 1").select("doc_id")
+    once = named.join(gone.union(repeated).distinct(), "doc_id", "left_anti")
+    again = named.join(repeated.join(gone, "doc_id", "left_anti"), "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text", F.to_json(F.struct(*[F.col(c) for c in docs.columns])))
-    named = docs.where("doc_id IS NOT NULL").withColumn("place_in_id_", F.row_number().over(order)).where("place_in_id_ = 1")
-    left = named.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    return left.union(docs.where("doc_id IS NULL"))
+    first = again.withColumn("place_in_id_", F.row_number().over(order)).where("place_in_id_ = 1")
+    parts = [once, first, docs.where("doc_id IS NULL")]
+    return reduce(DataFrame.union, [part.select(*docs.columns) for part in parts])
 
 
 def without_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -167,7 +167,7 @@ def predicted_languages(
         names, table = held.value
         limit = max(1 << 16, (8 << 20) // max(4, len(names)))
         for batch in batches:
-            for part in slices(batch, "text_", limit):
+            for part in slices(batch, "text_", limit=limit):
                 pred, share = infer(part.column(part.num_columns - 1), names, table, price)
                 told = [names[i] if i >= 0 else "und" for i in pred]
                 score = [float(share[t, i]) if i >= 0 else 0.0 for t, i in enumerate(pred)]

@@ -1,30 +1,34 @@
 """Near-duplicates by min-max hashing.
 
-A document is its set of word shingles. Under each of ``PERMUTATIONS`` random
+A document is its set of word shingles. Under each of a number of random
 permutations both the least and the greatest value of the set are kept: either
 agrees between two sets with the probability of their Jaccard similarity, so
 half as many permutations give a signature of the same length. Values are
-grouped into ``bands``; sets that agree on a whole band are candidates, and a
-candidate is a link only if the full sets are similar enough.
+grouped into bands, as many as the wanted similarity needs; sets that agree on a
+whole band are candidates, and a candidate is a link only if the full sets are
+similar enough.
 
 Equal sets are one class from the start. In a band's bucket each class is
 compared with the bucket's least one, its centre, which connects groups of copies with one
 comparison per member. Two classes of a bucket have the same centre, so what is
 left are pairs of members of one centre that are still in different components.
-A centre's members outside its component are dealt into tiles, all its members
-into others, and a tile meets a tile: pairs are compared by their full sets in
-arrays, and only links come out.
+Sets that are alike differ little in size, so a centre's members are parted by
+size classes of that ratio, and only neighbouring classes meet. Members outside
+the centre's component are dealt into tiles, all members into others, and a tile
+meets a tile: pairs are compared by their full sets in arrays, and only links
+come out.
 """
 
 from __future__ import annotations
 
+import math
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.components import component_labels
+from ledgerloom.llm.components import component_labels, hub_join
 from ledgerloom.llm.words import joined, mixed, slices, split_words, widened, window_hashes, word_hashes
 from ledgerloom.session import scratch_dir
 
@@ -40,9 +44,29 @@ class Banding(NamedTuple):
         return 1 - (1 - similarity**self.rows) ** self.bands
 
 
-#: Sets of similarity 0.8 meet with probability 1 - 4e-8, of 0.3 with 0.10.
-BANDING = Banding(bands=43, rows=5)
+#: The chance that a link of just the wanted similarity has no common band.
+MISSED = 5e-8
+#: Values of a signature, at most.
+SIGNATURE = 256
+#: Members of a tile; one with many shingles counts as several.
 TILE = 128
+TILE_SHINGLES = 4096
+
+
+def banding_for(percent: int) -> Banding:
+    """The bands that find links of this similarity: the widest whose signature is not too long.
+
+    For 80 these are 43 bands of 5: links meet with probability 1 - 4e-8, sets of
+    similarity 0.3 with 0.10. Low similarities need narrow bands, in which most pairs meet.
+    """
+    found = [Banding(1, 1)]
+    for rows in range(1, 33):
+        agree = (percent / 100) ** rows
+        bands = 1 if agree >= 1 else math.ceil(math.log(MISSED) / math.log1p(-agree))
+        found += [Banding(bands, rows)] if bands * rows <= SIGNATURE else []
+    if found[-1].found(percent / 100) < 1 - 2 * MISSED:
+        raise ValueError(f"a similarity of {percent} % is too low to be found by bands")
+    return found[-1]
 
 
 def shingles(column, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,7 +128,7 @@ def set_classes(docs: DataFrame, size: int, banding: Banding, id_col: str, text_
 
     def sign(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", limit=2 << 20):
                 values, cuts = shingles(part.column(1), size)
                 keys = signatures(values, cuts, banding).view(np.int64)
                 n = np.diff(cuts)
@@ -120,6 +144,11 @@ def set_classes(docs: DataFrame, size: int, banding: Banding, id_col: str, text_
     return picked.mapInArrow(sign, schema)
 
 
+def _compatible(a: str, b: str, percent: int):
+    """Whether sets of these sizes can be similar enough."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets satisfy 100 * shared >= percent * union."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -128,7 +157,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
     def compare(batches):
         for batch in batches:
-            for part in slices(batch, "text_a", 1 << 20):
+            for part in slices(batch, "text_a", "text_b", limit=2 << 20):
                 one, cut1 = shingles(part.column(2), size)
                 two, cut2 = shingles(part.column(3), size)
                 n = part.num_rows
@@ -145,23 +174,40 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
     return both.mapInArrow(compare, both.select("a", "b").schema).distinct()
 
 
-def _across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between members of one centre that are in different components.
+def _tiles(members: DataFrame, percent: int) -> DataFrame:
+    """Members of a centre dealt to the tiles in which they are compared: ``centre``, ``grade``,
+    ``i``, ``j``, ``left``, ``rep``, ``label``.
 
-    ``members`` has ``centre``, ``rep``, ``label`` and ``other`` (not in the centre's
-    component). A tile holds about ``TILE`` members, so a group is twice that.
+    ``members`` has ``centre``, ``rep``, ``label``, ``n`` (set size) and ``other`` (not in
+    the centre's component). Rows of tiles are others of one size class (``grade``),
+    columns are members of this class and its neighbours.
     """
-    tiles = lambda n: F.ceil(F.sum(n) / F.lit(TILE)).cast("int")
-    counts = members.groupBy("centre").agg(
-        F.count("*").alias("n"), tiles(F.col("other").cast("int")).alias("rows"), tiles(F.lit(1)).alias("columns")
-    )
-    counts = counts.where("rows > 0 AND n > 2")
-    known = members.join(counts, "centre")
+    # A little wider than the ratio, so that rounding never parts sets by two classes.
+    grade = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
+    graded = members.withColumns({"grade": grade, "weight": 1 + F.floor(F.col("n") / TILE_SHINGLES)})
+    left = graded.where("other")
+    right = graded.withColumn("grade", F.explode(F.array(*[F.col("grade") + d for d in ((-1, 0, 1) if percent < 100 else (0,))])))
+    tiles = F.ceil(F.sum("weight") / TILE).cast("int")
+    rows = left.groupBy("centre", "grade").agg(tiles.alias("rows"), F.count("*").alias("n_left"))
+    columns = right.groupBy("centre", "grade").agg(tiles.alias("columns"), F.count("*").alias("n_right"))
+    counts = rows.join(columns, ["centre", "grade"]).where("n_right > 1")
+    key = F.struct("centre", "grade")
+    counts = counts.select(key.alias("at"), "rows", "columns", (F.col("n_left") + F.col("n_right")).alias("members"))
+    where = scratch_dir(members.sparkSession, "tiles")
+    counts.write.parquet(where)
+    counts = members.sparkSession.read.parquet(where)
+    total = counts.agg(F.sum("members")).first()[0] or 0
     tile = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = known.where("other").select("centre", tile("rows").alias("i"), each("columns").alias("j"), F.lit(True).alias("left"), "rep", "label")
-    right = known.select("centre", each("rows").alias("i"), tile("columns").alias("j"), F.lit(False).alias("left"), "rep", "label")
-    dealt = left.union(right).join(texts.withColumnRenamed("id", "rep"), "rep")
+    known = lambda side: hub_join(side.withColumn("at", key).select("at", "rep", "label"), counts, "at", "members", total)
+    dealt = known(left).select("at", tile("rows").alias("i"), each("columns").alias("j"), F.lit(True).alias("left"), "rep", "label")
+    others = known(right).select("at", each("rows").alias("i"), tile("columns").alias("j"), F.lit(False).alias("left"), "rep", "label")
+    return dealt.union(others).select("at.centre", "at.grade", "i", "j", "left", "rep", "label")
+
+
+def _across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between members of one centre that are in different components (``_tiles``)."""
+    dealt = _tiles(members, percent).join(texts.withColumnRenamed("id", "rep"), "rep")
 
     def compare(table):
         reps, labels = table["rep"].combine_chunks(), table["label"].to_numpy()
@@ -193,14 +239,14 @@ def _across(members: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
         return pa.table([reps.take(pa.array(rows[:, 0])), reps.take(pa.array(rows[:, 1]))], names=["a", "b"])
 
     pair = members.select(F.col("rep").alias("a"), F.col("rep").alias("b")).schema
-    return dealt.groupBy("centre", "i", "j").applyInArrow(compare, pair).distinct()
+    return dealt.groupBy("centre", "grade", "i", "j").applyInArrow(compare, pair).distinct()
 
 
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
     percent: int = 80,
-    banding: Banding = BANDING,
+    banding: Banding | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -213,10 +259,11 @@ def near_duplicates(
     document with several texts: they share a component, and all rows of a kept
     id are kept. A row with a null id takes part in no link, is its own
     component (null) and is kept. Other columns are ignored; an empty table
-    gives none. Candidates meet with the probability ``banding.found``; links
-    are confirmed on full sets.
+    gives none. Candidates meet with the probability ``banding.found``, by default
+    that of ``banding_for(percent)``; links are confirmed on full sets.
     """
     spark = docs.sparkSession
+    banding = banding_for(percent) if banding is None else banding
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         where = scratch_dir(spark, name)
@@ -226,12 +273,13 @@ def near_duplicates(
     signed = stored(set_classes(docs, size, banding, id_col, text_col), "sets")
     named = signed.where("id IS NOT NULL AND n > 0")
     classes = named.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.any_value("bands").alias("bands"))
-    keyed = classes.select("rep", F.explode("bands").alias("key"))
-    centre = keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1").select("key", "centre")
-    star = keyed.join(centre, "key").where("rep <> centre").select("centre", "rep").distinct()
+    keyed = classes.select("rep", "n", F.explode("bands").alias("key"))
+    least = F.min(F.struct("rep", F.col("n").alias("centre_n"))).alias("least")
+    centre = keyed.groupBy("key").agg(least, F.count("*").alias("many")).where("many > 1").select("key", F.col("least.rep").alias("centre"), "least.centre_n")
+    star = keyed.join(centre, "key").where("rep <> centre").select("centre", "centre_n", "rep", "n").distinct()
     star = stored(star, "candidates")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id IS NOT NULL")
-    pairs = star.select(F.col("centre").alias("a"), F.col("rep").alias("b"))
+    pairs = star.where(_compatible("n", "centre_n", percent)).select(F.col("centre").alias("a"), F.col("rep").alias("b"))
     links = stored(_confirmed(pairs, texts, size, percent), "links")
 
     # Copies of a set, and rows of one id with several sets, are links already.
@@ -242,10 +290,10 @@ def near_duplicates(
     labels = component_labels(links.union(same))
     own = labels.select(F.col("node").alias("rep"), "label")
     its = labels.select(F.col("node").alias("centre"), F.col("label").alias("centre_label"))
-    members = star.union(star.select("centre", F.col("centre").alias("rep")).distinct())
+    members = star.select("centre", "rep", "n").union(star.select("centre", F.col("centre").alias("rep"), F.col("centre_n").alias("n")).distinct())
     members = members.join(own, "rep", "left").join(its, "centre", "left")
     label, centre_label = F.coalesce("label", "rep"), F.coalesce("centre_label", "centre")
-    members = stored(members.select("centre", "rep", label.alias("label"), (label != centre_label).alias("other")), "members")
+    members = stored(members.select("centre", "rep", "n", label.alias("label"), (label != centre_label).alias("other")), "members")
     more = stored(_across(members, texts, size, percent), "links")
     if more.take(1):
         labels = component_labels(links.union(same).union(more))

@@ -156,12 +156,12 @@ def widened(schema: T.StructType, columns: str) -> T.StructType:
     return T.StructType([*schema.fields, *T.StructType.fromDDL(columns).fields])
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Consecutive slices whose texts hold ``limit`` bytes at most (one row at least)."""
+def slices(batch: pa.RecordBatch, *columns: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive slices whose texts in these columns hold ``limit`` bytes at most (one row at least)."""
     if not batch.num_rows:
         return
-    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    total = np.cumsum(size.astype(np.int64))
+    sizes = [pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False) for c in columns]
+    total = np.cumsum(sum(s.astype(np.int64) for s in sizes))
     begin = 0
     while begin < len(total):
         base = total[begin - 1] if begin else 0

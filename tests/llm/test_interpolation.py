@@ -5,6 +5,8 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
@@ -101,3 +103,30 @@ def test_nothing_learned(spark):
     got = sorted((r.n_tokens, r.n_known, r.train_tokens, round(abs(r.score), 4)) for r in interpolation.scored_documents(table, "part").collect())
     assert got == [(1, 0, 0, 0.0), (3, 0, 0, 0.0)]
     assert interpolation.scored_documents(table.where("false"), "part").count() == 0
+
+
+def test_base_columns_against_sql(spark):
+    """Token counts and base scores of the whole table in SQL (folds come from the client, which has crc32)."""
+    duck = duckdb.connect()
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    folds = pa.table({"doc_id": [r.doc_id for r in docs], "fold": [zlib.crc32(str(r.doc_id).encode()) % 5 for r in docs]})
+    duck.register("folds", folds)
+    rows = duck.sql(
+        rf"""
+        WITH t AS (
+            SELECT d.doc_id, fold <> 1 AS trained, unnest(list_append(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ')) AS w
+            FROM '{SF_DIR}/documents.parquet' d JOIN folds ON folds.doc_id = d.doc_id
+        ), c AS (SELECT w, count(*) AS c FROM t WHERE trained GROUP BY w),
+        s AS (SELECT sum(c) AS n, count(*) AS v FROM c)
+        SELECT doc_id, bool_or(NOT trained) AS held_out, count(*) AS n_tokens, count(c) AS n_known, cast(any_value(n) AS BIGINT) AS train_tokens,
+            sum(log10((coalesce(c, 0) + 0.5) / (n + 0.5 * (v + 1)))) AS base_score
+        FROM t LEFT JOIN c ON c.w = t.w, s GROUP BY doc_id
+        """
+    ).fetchall()
+    got = {r.doc_id: r for r in queries.QUERIES["op4_deleted_interpolation"](spark, SF_DIR).collect()}
+    assert len(rows) == len(got) == len(docs)
+    for doc_id, held_out, n_tokens, n_known, train_tokens, base in rows:
+        r = got[doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held_out, n_tokens, n_known, train_tokens)
+        assert abs(r.base_score - base) < 1e-9 * abs(base)

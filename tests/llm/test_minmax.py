@@ -4,8 +4,10 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import minmax
+from ledgerloom.llm.components import component_labels, hub_join
 
 
 def brute(rows, size, percent):
@@ -59,4 +61,61 @@ def test_odd_rows(spark):
 
 
 def test_banding_finds_links():
-    assert 1 - minmax.BANDING.found(0.8) < 1e-7
+    assert minmax.banding_for(80) == (43, 5)
+    for percent in range(25, 101):
+        banding = minmax.banding_for(percent)
+        assert 1 - banding.found(percent / 100) < 1e-7 and banding.bands * banding.rows <= minmax.SIGNATURE
+    with pytest.raises(ValueError, match="too low"):
+        minmax.banding_for(3)
+
+
+@pytest.mark.parametrize("percent", [50, 65, 95, 100])
+def test_other_thresholds_against_all_pairs(spark, percent):
+    """Copies whose similarity lies around the threshold, of several sizes."""
+    rng = random.Random(percent)
+    rows = []
+    for _ in range(12):
+        n = rng.choice([12, 40, 100])
+        base = [f"w{rng.randrange(5000)}" for _ in range(n)]
+        for _ in range(15):
+            copy = list(base)
+            for _ in range(rng.randrange(max(1, round(n * (1 - percent / 100) * 0.7)) + 1)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy[: rng.choice([n, n, n - n // 5])])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minmax.near_duplicates(docs, 2, percent).collect()}
+    assert got == brute(rows, 2, percent)
+
+
+def test_tiles_hold_neighbouring_sizes_only(spark):
+    """Members of all sizes with one centre: only pairs of like sizes meet, every such pair does."""
+    rows = [(1, i, i, 2 + i, i % 3 > 0) for i in range(1, 900)]
+    members = spark.createDataFrame(rows, "centre long, rep long, label long, n long, other boolean")
+    tiles = [r.asDict() for r in minmax._tiles(members, 80).collect()]
+    met, dealt = set(), {}
+    for t in tiles:
+        dealt.setdefault((t["grade"], t["i"], t["j"]), ([], []))[0 if t["left"] else 1].append(t["rep"])
+    for left, right in dealt.values():
+        met |= {(a, b) for a in left for b in right}
+    size = {r[1]: r[3] for r in rows}
+    wanted = {(a, b) for a in size if a % 3 for b in size if a != b and 100 * min(size[a], size[b]) >= 80 * max(size[a], size[b])}
+    assert wanted <= met and len(met) < 0.6 * len(rows) * sum(r[4] for r in rows)
+
+
+def test_hubs_are_joined_where_their_rows_are(spark):
+    links = spark.range(5000).select(F.col("id").alias("a"), F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id") - 1).alias("b"))
+    labels = {r.node: r.label for r in component_labels(links).collect()}
+    assert set(labels.values()) == {-1} and len(labels) == 5001
+    keyed = links.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("m"))
+    joined = hub_join(links, keyed, "b", "n", 5000)
+    assert joined.count() == 5000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
+def test_components_of_chains_and_rings(spark):
+    rng = random.Random(3)
+    pairs = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000 + (i + 1) % 50) for i in range(50)] + [(2000, 2000), (3001, 3000)]
+    rng.shuffle(pairs)
+    labels = {r.node: r.label for r in component_labels(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert labels == {**{i: 0 for i in range(301)}, **{1000 + i: 1000 for i in range(50)}, 3000: 3000, 3001: 3000}

@@ -44,6 +44,6 @@ def test_long_words_are_hashed_whole():
 
 def test_slices_hold_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(["x" * n for n in (5, 50, 0, 3, 200)] + [None])], ["t"])
-    parts = list(slices(batch, "t", 55))
+    parts = list(slices(batch, "t", limit=55))
     assert sum((p.column(0).to_pylist() for p in parts), []) == batch.column(0).to_pylist()
     assert [p.num_rows for p in parts] == [3, 1, 1, 1]
