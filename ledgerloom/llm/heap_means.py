@@ -114,7 +114,10 @@ def updated(heaps: Heaps | None, vectors: np.ndarray, centroids: np.ndarray, dri
 
 
 class _Bucketed:
-    """Tables bucketed by block, so that joins by block need no exchange."""
+    """Tables bucketed by block, so that joins by block need no exchange.
+
+    They are in the session's catalog while the run lasts; leaving drops them.
+    """
 
     def __init__(self, spark, buckets: int):
         self.spark, self.buckets, self.tables = spark, buckets, {}
@@ -125,6 +128,13 @@ class _Bucketed:
         self.tables[name] = (table, where)
         return self.spark.table(table)
 
+    def __enter__(self) -> _Bucketed:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for name in list(self.tables):
+            self.drop(name)
+
     def drop(self, name: str) -> None:
         table, where = self.tables.pop(name)
         self.spark.sql(f"DROP TABLE IF EXISTS {table}")
@@ -180,78 +190,77 @@ def clustered(
     loose = spark.read.parquet(base)
     held = loose.agg(F.sum(F.octet_length("payload"))).first()[0]
     tables = _Bucketed(spark, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // BUCKET_BYTES)))
-    blocks = tables.stored(loose.repartition(tables.buckets, "block"), "blocks")
-    remove_dir(spark, base)
-
-    def step(centroids, drift, states=None):
-        fresh = states is None
-
-        def assign(batches):
+    where = scratch_dir(spark, "clusters")
+    with tables:
+        blocks = tables.stored(loose.repartition(tables.buckets, "block"), "blocks")
+        remove_dir(spark, base)
+
+        def step(centroids, drift, states=None):
+            fresh = states is None
+
+            def assign(batches):
+                for batch in batches:
+                    out = []
+                    for i in range(batch.num_rows):
+                        block, payload, size = (batch.column(c)[i].as_py() for c in ("block", "payload", "bytes"))
+                        old = None if fresh else Heaps.unpacked(*[batch.column(c)[i].as_py() for c in ("keys", "rows", "sizes")])
+                        heaps, change, compared = updated(old, unpacked(payload, size), centroids, drift)
+                        out.append((block, *heaps.packed(), change.tobytes(), compared))
+                    kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+                    columns = zip(*out, strict=True) if out else [()] * 6
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["block", "keys", "rows", "sizes", "change", "compared"])
+
+            rows = blocks.select("block", "payload", "bytes")
+            if not fresh:
+                rows = rows.join(states.select("block", "keys", "rows", "sizes"), "block")
+            return rows.mapInArrow(assign, _STATE)
+
+        def changes(states) -> np.ndarray:
+            """Sums of the blocks' changes: as many numbers as the centroids have, and a count each."""
+
+            def added(batches):
+                total = np.zeros(k * (width + 1), np.int64)
+                for batch in batches:
+                    for change in batch.column("change"):
+                        total += np.frombuffer(change.as_py(), np.int64)
+                at = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["place", "n"])
+
+            out = np.zeros(k * (width + 1), object)
+            for place, n in states.select("change").mapInArrow(added, "place int, n long").groupBy("place").agg(F.sum(F.col("n").cast("decimal(38,0)"))).collect():
+                out[place] = int(n)
+            return out.reshape(k, width + 1)
+
+        drift, sums, states = np.zeros(k), np.zeros((k, width + 1), object), None
+        for number in range(rounds + 1):
+            states = tables.stored(step(centroids, drift, states), f"heaps{number}")
+            if number:
+                tables.drop(f"heaps{number - 1}")
+            if report is not None:
+                report.append(states.agg(F.sum("compared")).first()[0])
+            if number == rounds:
+                break
+            sums = sums + changes(states)
+            means = np.array([[s // row[-1] for s in row[:-1]] if row[-1] else old.tolist() for row, old in zip(sums.tolist(), centroids, strict=True)], np.int64)
+            moved = np.sqrt(((means - centroids) ** 2).sum(axis=1).astype(np.float64))
+            if not moved.any():
+                break
+            others = [np.delete(moved, j).max(initial=0) for j in range(k)]
+            # A little more than the moves, so that rounding never keeps a gap alive.
+            drift, centroids = drift + (moved + np.array(others)) * (1 + 1e-12), means
+
+        def shown(batches):
             for batch in batches:
-                out = []
                 for i in range(batch.num_rows):
-                    block, payload, size = (batch.column(c)[i].as_py() for c in ("block", "payload", "bytes"))
-                    old = None if fresh else Heaps.unpacked(*[batch.column(c)[i].as_py() for c in ("keys", "rows", "sizes")])
-                    heaps, change, compared = updated(old, unpacked(payload, size), centroids, drift)
-                    out.append((block, *heaps.packed(), change.tobytes(), compared))
-                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-                columns = zip(*out, strict=True) if out else [()] * 6
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["block", "keys", "rows", "sizes", "change", "compared"])
-
-        rows = blocks.select("block", "payload", "bytes")
-        if not fresh:
-            rows = rows.join(states.select("block", "keys", "rows", "sizes"), "block")
-        return rows.mapInArrow(assign, _STATE)
-
-    def changes(states) -> np.ndarray:
-        """Sums of the blocks' changes: as many numbers as the centroids have, and a count each."""
-
-        def added(batches):
-            total = np.zeros(k * (width + 1), np.int64)
-            for batch in batches:
-                for change in batch.column("change"):
-                    total += np.frombuffer(change.as_py(), np.int64)
-            at = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["place", "n"])
-
-        out = np.zeros(k * (width + 1), object)
-        for place, n in states.select("change").mapInArrow(added, "place int, n long").groupBy("place").agg(F.sum(F.col("n").cast("decimal(38,0)"))).collect():
-            out[place] = int(n)
-        return out.reshape(k, width + 1)
-
-    drift, sums, states = np.zeros(k), np.zeros((k, width + 1), object), None
-    for number in range(rounds + 1):
-        states = tables.stored(step(centroids, drift, states), f"heaps{number}")
-        if number:
-            tables.drop(f"heaps{number - 1}")
-        if report is not None:
-            report.append(states.agg(F.sum("compared")).first()[0])
-        if number == rounds:
-            break
-        sums = sums + changes(states)
-        means = np.array([[s // row[-1] for s in row[:-1]] if row[-1] else old.tolist() for row, old in zip(sums.tolist(), centroids, strict=True)], np.int64)
-        moved = np.sqrt(((means - centroids) ** 2).sum(axis=1).astype(np.float64))
-        if not moved.any():
-            break
-        others = [np.delete(moved, j).max(initial=0) for j in range(k)]
-        # A little more than the moves, so that rounding never keeps a gap alive.
-        drift, centroids = drift + (moved + np.array(others)) * (1 + 1e-12), means
-
-    def shown(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                ids, payload, size, *heaps = (batch.column(c)[i].as_py() if c != "ids" else batch.column(c)[i].values for c in ("ids", "payload", "bytes", "keys", "rows", "sizes"))
-                x = unpacked(payload, size).astype(np.int64)
-                which = Heaps.unpacked(*heaps).clusters(len(x))
-                far = ((x - centroids[which]) ** 2).sum(axis=1)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(which.astype(np.int32)), pa.array(far)], ["id", "cluster", "distance"])
-
-    where = scratch_dir(spark, "clusters")
-    blocks.join(states.select("block", "keys", "rows", "sizes"), "block").select("ids", "payload", "bytes", "keys", "rows", "sizes").mapInArrow(
-        shown, f"id {kind}, cluster int, distance long"
-    ).write.parquet(where)
-    for name in list(tables.tables):
-        tables.drop(name)
+                    ids, payload, size, *heaps = (batch.column(c)[i].as_py() if c != "ids" else batch.column(c)[i].values for c in ("ids", "payload", "bytes", "keys", "rows", "sizes"))
+                    x = unpacked(payload, size).astype(np.int64)
+                    which = Heaps.unpacked(*heaps).clusters(len(x))
+                    far = ((x - centroids[which]) ** 2).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(which.astype(np.int32)), pa.array(far)], ["id", "cluster", "distance"])
+
+        blocks.join(states.select("block", "keys", "rows", "sizes"), "block").select("ids", "payload", "bytes", "keys", "rows", "sizes").mapInArrow(
+            shown, f"id {kind}, cluster int, distance long"
+        ).write.parquet(where)
 
     found = spark.read.parquet(where)
     totals = {r.cluster: int(r.s) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()}
