@@ -99,14 +99,16 @@ def _spread(df: DataFrame, parts: Column) -> Column:
 
 
 def _joined_by_parts(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, part_rows: int, left_keys: DataFrame, right_keys: DataFrame
-) -> DataFrame:
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str, part_rows: int, left_keys: DataFrame, right_keys: DataFrame,
+    beside: tuple[DataFrame, str] | None = None,
+) -> DataFrame:
     """Outer join on key and part.
 
     Rows of a hot key are dealt to its parts, and the other side's rows of that key
     are repeated for each of them. A repeated row may find its part empty; since the
     key has rows, it matches elsewhere, and that lone copy is dropped. Rows without a
-    key match nothing and are dealt out evenly.
+    key match nothing and are dealt out evenly. The rows of ``beside`` are repeated for
+    each part of the right side, where the joined rows meet them (left joins only).
     """
     even = F.lit(1024)
     a, b = left.withColumn("_l", F.lit(True)), right.withColumn("_r", F.lit(True))
@@ -132,21 +134,32 @@ def _joined_by_parts(
     lone_left = F.col("_r").isNull() & (F.col("_n_right") > 1)
     lone_right = F.col("_l").isNull() & (F.col("_n_left") > 1)
     kept = joined.where(~F.coalesce(lone_left, F.lit(False)) & ~F.coalesce(lone_right, F.lit(False)))
-    return kept.select(*left.columns, *right.columns)
+    if beside is None:
+        return kept.select(*left.columns, *right.columns)
+    other, other_key = beside
+    c = other.join(hot_right, F.col(other_key) == F.col("_b_key"), "left").drop("_b_key")
+    c = c.withColumn("_n", F.coalesce("_b", F.lit(1))).drop("_b")
+    # Left rows that have a key are in part 0 of their own side; the whole key of the first join is met again.
+    c = c.withColumn("_cb", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).withColumn("_ca", F.explode(F.sequence(F.lit(0), F.lit(0))))
+    there = (F.col(left_key) == F.col(other_key)) & (F.col("_pb") == F.col("_cb")) & (F.col("_pa") == F.col("_ca"))
+    return kept.join(c.drop("_n"), there, "left").select(*left.columns, *right.columns, *other.columns)
 
 
 def left_join_by_parts(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, part_rows: int = PART_ROWS, right_keys: DataFrame | None = None
-) -> DataFrame:
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, part_rows: int = PART_ROWS, right_keys: DataFrame | None = None,
+    beside: tuple[DataFrame, str] | None = None,
+) -> DataFrame:
     """Left outer join for a right side that may hold hot keys, which Spark cannot split there.
 
     Keys with more than ``part_rows`` right rows are cut into parts. They are counted
     in ``right_keys``, anything with the right key's column and exactly the keys of
     ``right`` (itself by default): a narrow scan where ``right`` is dear to compute.
-    Equal rows lie in one part. Column names of the two sides must differ.
+    Equal rows lie in one part. ``beside``, a side and its key, is left joined on the
+    same key: the joined rows meet it where they are and are not dealt out once more.
+    Column names of the sides must differ.
     """
     keys = right if right_keys is None else right_keys
-    return _joined_by_parts(left, right, left_key, right_key, "left", part_rows, left, keys)
+    return _joined_by_parts(left, right, left_key, right_key, "left", part_rows, left, keys, beside)
 
 
 def full_join_by_parts(

@@ -91,9 +91,11 @@ def _process_rows(
     """Processes with steps, open tasks and lookups, plus open tasks without a process.
 
     Each side is de-duplicated before it is joined, so the joined rows are
-    distinct as they come and the wide result needs no grouping. Steps are the
-    longest table; joining them by parts lets a process with very many steps be
-    split.
+    distinct as they come and the wide result needs no grouping. Employees,
+    incidents and states are looked up while a process and an open task are one
+    row each; tasks and steps, which multiply the rows, come last and by the same
+    key, so the rows that they make are not moved again. Steps are the longest
+    table; joining them by parts lets a process with very many steps be split.
     """
     open_tasks = (
         tasks.where((F.col("completed") == "false") & F.col("application_num").isNotNull())
@@ -108,18 +110,10 @@ def _process_rows(
     )
     shown = PROCESS if steps is not None else [c for c in PROCESS if c != "proc_def_id_"]
     base = processes.select(*shown).distinct()
-    if steps is not None:
-        base = left_join_by_parts(base, steps, "proc_inst_id_", "_step_proc", right_keys=step_keys).drop("_step_proc")
-        with_tasks = base.join(open_tasks, F.col("proc_inst_id_") == F.col("_task_proc"), "left")
-    else:
-        open_keys = tasks.where((F.col("completed") == "false") & F.col("application_num").isNotNull())
-        open_keys = open_keys.select(F.col("proc_def_id_").alias("_task_proc"))
-        with_tasks = left_join_by_parts(base, open_tasks, "proc_inst_id_", "_task_proc", right_keys=open_keys)
     states = completed_state(tasks)
     finished = F.col("state") == "true"
-    known = (
-        _with_performer(with_tasks.drop("_task_proc"), employees)
-        .join(
+    base = (
+        base.join(
             _people(employees, "init", PERSON + BRANCH),
             F.col("init_username") == F.col("_init"),
             "left",
@@ -130,6 +124,15 @@ def _process_rows(
         .join(states, (F.col("proc_inst_id_") == F.col("_proc")) & finished, "left")
         .drop("_init", "_root", "_proc")
     )
+    performed = _with_performer(open_tasks, employees)
+    if steps is not None:
+        known = left_join_by_parts(
+            base, steps, "proc_inst_id_", "_step_proc", right_keys=step_keys, beside=(performed, "_task_proc")
+        ).drop("_step_proc", "_task_proc")
+    else:
+        open_keys = tasks.where((F.col("completed") == "false") & F.col("application_num").isNotNull())
+        open_keys = open_keys.select(F.col("proc_def_id_").alias("_task_proc"))
+        known = left_join_by_parts(base, performed, "proc_inst_id_", "_task_proc", right_keys=open_keys).drop("_task_proc")
     instances = processes.select(F.col("proc_inst_id_").alias("_id")).distinct()
     orphans = open_tasks.join(instances, F.col("_task_proc") == F.col("_id"), "left_anti")
     alone = _with_performer(orphans.select(*OPEN_TASK).distinct(), employees)

@@ -131,6 +131,33 @@ def test_level_lookups_are_one_join(spark):
     assert text.count("Exchange hashpartitioning(categories_array") == 1
 
 
+def below(text: str, head: str) -> list[str]:
+    """The lines of the subtree under each line that has ``head`` in it, one text per subtree."""
+    lines = text.splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+    found = []
+    for i, line in enumerate(lines):
+        if head in line:
+            end = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            found.append("\n".join(lines[i + 1 : end]))
+    return found
+
+
+@pytest.mark.parametrize("name", ["mart_process_steps", "mart_process_flow"])
+def test_employees_are_looked_up_before_rows_multiply(spark, name):
+    """Open tasks alone are dealt by their employee, and processes alone by theirs."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    open_tasks = below(text, "Exchange hashpartitioning(curr_username")
+    started = below(text, "Exchange hashpartitioning(init_username")
+    assert open_tasks and started
+    assert "Join" not in "".join(started) and all(part.count("Join") <= part.count("LeftAnti") for part in open_tasks)
+
+
 def test_detail_counts_are_dealt_once(spark):
     """Of the six exchanges, one belongs to the derived categories table."""
     assert exchanges(spark, "mart_catalog_counts_detail") <= 6

@@ -83,6 +83,19 @@ def test_joins_by_parts(spark, hot, bag):
     assert bag(both) == bag(some.join(other, F.col("user_id") == F.col("u2"), "full_outer"))
 
 
+def test_left_join_by_parts_with_a_second_side(spark, hot, bag):
+    """The second side meets each part of a hot key, and rows without a key or partner stay."""
+    users = spark.range(0, 80).select(F.col("id").alias("uid")).unionByName(
+        spark.range(1).select(F.lit(None).cast("long").alias("uid"))
+    )
+    notes = spark.range(0, 240).select((F.col("id") % 90).alias("noted"), F.col("id").alias("note"))
+    notes = notes.where("noted % 5 > 0").unionByName(spark.range(1).select(F.lit(None).cast("long").alias("noted"), F.lit(-1).cast("long").alias("note")))
+    plain = users.join(hot, F.col("uid") == F.col("user_id"), "left").join(notes, F.col("uid") == F.col("noted"), "left")
+    for part_rows in (1 << 20, 1000, 30):
+        joined = left_join_by_parts(users, hot, "uid", "user_id", part_rows, beside=(notes, "noted"))
+        assert bag(joined) == bag(plain)
+
+
 def test_hot_keys_of_outer_joins_spread_over_tasks(spark, hot):
     """With parts, no task gets more than a few parts of the hot user or of the rows without a user."""
     kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
