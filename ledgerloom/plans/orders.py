@@ -484,7 +484,12 @@ def purchases_report(
     tie_break: str,
     hidden_senders: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Order status rows of the month in four overlapping payment segments."""
+    """Order status rows of the month in four overlapping payment segments.
+
+    Items are cut down to those of the month's lines before their titles are looked
+    up, and meet the lines, which are narrow. All else is joined by the order, so the
+    wide rows are not moved again; they are put into segments, several each, last.
+    """
     carried = [
         "pay_title",
         "created_on",
@@ -529,27 +534,29 @@ def purchases_report(
         F.array(*[F.struct(c.alias("hit"), value_map(label, m).alias("ttt")) for c, m in segments]),
         lambda s: s["hit"],
     )
-    segmented = rows.withColumn("_s", F.explode(tagged)).withColumn("ttt", F.col("_s.ttt")).drop("_s")
     commented = latest_per_key(
         semi_lookup(in_scope.where(F.col("user_mobile").isNotNull()), month, "uid", "uid"),
         ["uid"],
         [F.col("updated_on").desc(), F.col(tie_break).desc()],
     ).select("uid", json_text(F.col("temp"), "$.body.canceled_comments").alias("comment2"))
-    paths = listed(nomenclature, market).select(
+    item = ["product_merchant_id", "sku_id", "product_id"]
+    paths = listed(nomenclature, market).where(F.col("categories_array").isNotNull()).select(
         "categories_array",
         F.col("merchant_id").alias("product_merchant_id"),
         "sku_id",
         "product_id",
     )
-    titled = category_titles(paths, categories, 4).where(F.col("cat1").isNotNull())
-    items = paths.join(titled, "categories_array").drop("categories_array")
+    sold = paths.join(lines.select(*item).distinct(), item, "left_semi")
+    titled = category_titles(sold, categories, 4).where(F.col("cat1").isNotNull())
+    items = sold.join(titled, "categories_array").drop("categories_array")
     return (
-        segmented.join(lines, "uid")
+        rows.join(lines.join(items, item, "left"), "uid")
         .join(commented, "uid", "left")
-        .join(items, ["product_merchant_id", "sku_id", "product_id"], "left")
         .join(
             loans.select(F.col("order_id").alias("uid"), "iin", "status1", "status2"), "uid", "left"
         )
+        .withColumn("_s", F.explode(tagged))
+        .withColumn("ttt", F.col("_s.ttt"))
         .select(
             "uid",
             "stat",

@@ -158,6 +158,23 @@ def test_employees_are_looked_up_before_rows_multiply(spark, name):
     assert "Join" not in "".join(started) and all(part.count("Join") <= part.count("LeftAnti") for part in open_tasks)
 
 
+@pytest.mark.parametrize("name", ["mart_purchases", "purchases_report"])
+def test_purchases_move_no_wide_rows_for_lookups(spark, name):
+    """Nothing that is dealt has been put into segments, and items meet lines before orders."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES[name](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = below(text, "Exchange ")
+    assert dealt and not any("Generate explode(filter(" in part for part in dealt)
+    by_item = below(text, "Exchange hashpartitioning(product_merchant_id")
+    assert by_item and not any("user_surname" in part for part in by_item)
+    for part in below(text, "Exchange hashpartitioning(categories_array"):
+        assert "LeftSemi" in part
+
+
 def test_detail_counts_are_dealt_once(spark):
     """Of the six exchanges, one belongs to the derived categories table."""
     assert exchanges(spark, "mart_catalog_counts_detail") <= 6
