@@ -29,6 +29,16 @@ def to_json_text(col: Column) -> Column:
     return F.to_json(col)
 
 
+def parsed_once(document: Column) -> Column:
+    """A parsed document as a column of its own, for ``select`` or ``withColumn``.
+
+    Spark moves a filter below a projection and repeats the projected expression in
+    it, so that each predicate on a field of ``from_json`` parses the text again. It
+    does not move it below a generator: the document is parsed once per row.
+    """
+    return F.explode(F.array(document))
+
+
 def explode_text_array(
     df: DataFrame, lists: str | Mapping[str, str], into: str, label: str | None = None
 ) -> DataFrame:

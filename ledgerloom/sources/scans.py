@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ledgerloom.functions.nested import parsed_once
+
 
 def scan_table(
     spark: SparkSession,
@@ -69,10 +71,10 @@ def scan_wide_rows(
     where: Column | str | None = None,
     into: str = "doc",
 ) -> DataFrame:
-    """Parse the JSON payload column of wide-column rows into a struct."""
+    """Parse the JSON payload column of wide-column rows into a struct, once per row."""
     if where is not None:
         df = df.where(where)
-    return df.withColumn(into, F.from_json(F.col(payload), schema)).drop(payload)
+    return df.withColumn(into, parsed_once(F.from_json(F.col(payload), schema))).drop(payload)
 
 
 def scan_records(df: DataFrame, bins: Sequence[str], record: str = "doc") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StructType
 
 from ledgerloom import sinks
 from ledgerloom.functions import nested
@@ -16,8 +17,8 @@ from registry.core import Tables, query
 def as_document(identifier: Column, source: Column, spec: nested.FlattenSpec) -> list[Column]:
     """``_id`` and ``_source`` as a landed document has them: through JSON text,
     so that keys a row lacks are absent."""
-    parsed = F.from_json(F.to_json(F.struct(source.alias("_source"))), spec.schema)
-    return [identifier.alias("_id"), parsed["_source"].alias("_source")]
+    parsed = F.from_json(F.to_json(source), StructType.fromDDL(spec.schema)["_source"].dataType)
+    return [identifier.alias("_id"), nested.parsed_once(parsed).alias("_source")]
 
 
 @query(
@@ -470,7 +471,7 @@ def _(t: Tables):
         (F.lit(1609459200000) + key * 1000).alias("updated_date"),
     )
     parsed = F.from_json(F.to_json(F.struct(record.alias("doc"))), records.MERCHANTS.schema)
-    return records.merchants(t.supplier.select(parsed["doc"].alias("doc")))
+    return records.merchants(t.supplier.select(nested.parsed_once(parsed["doc"]).alias("doc")))
 
 
 @query(

@@ -175,6 +175,13 @@ def test_purchases_move_no_wide_rows_for_lookups(spark, name):
         assert "LeftSemi" in part
 
 
+@pytest.mark.parametrize("name", ["flatten_nomenclature", "flatten_spec", "flatten_records", "nested_flatten", "required_fields_drop"])
+def test_documents_are_parsed_once(spark, name):
+    """Predicates read the parsed document; none repeats the parse."""
+    text = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("from_json(") == 1
+
+
 def test_detail_counts_are_dealt_once(spark):
     """Of the six exchanges, one belongs to the derived categories table."""
     assert exchanges(spark, "mart_catalog_counts_detail") <= 6
